@@ -60,3 +60,10 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(name)
     _shipped["app"] = sc.applicationId
+
+
+def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
+    """``df`` dealt out evenly where its files make fewer partitions than there are cores, for stages whose work a row is
+    heavy. A large input has partitions enough and isn't moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * per_core) if df.rdd.getNumPartitions() < cores else df
