@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calorgrid.functions.keys import name_key, panel_key
+from calorgrid.llm.bpe import token_counts, token_ids
 from calorgrid.llm.overlap import cross_split_pairs, overlap_report
+from calorgrid.llm.packing import fill, pack
+from calorgrid.llm.quantiles import answers, merged, summarise
+from calorgrid.llm.sentences import sentence_places
 from calorgrid.llm.splits import cabinet_groups, frame_splits
-from calorgrid.sources.tables import table
+from calorgrid.session import checkpointed, spread
+from calorgrid.sources.tables import class_names, table
 
 PROPORTIONS = {"train": 0.8, "val": 0.1, "test": 0.1}
+SHARES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 VERDICTS = ("normal", "caution", "abnormal", "critical")
 
 
@@ -30,7 +37,43 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     return overlap_report(frames, cross_split_pairs(frames))
 
 
-QUERIES = {"p1_found": p1_found, "p1_splits": p1_splits, "p3_found": p3_found, "p3_report": p3_report}
+def p5_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Summaries of t_p99 by panel, class and day."""
+    rows = table(spark, sf, "anomaly_census").select(panel_key(F.col("panel")).alias("panel"), name_key(F.col("cls"), class_names(spark, sf)).alias("cls"), "run_day", "t_p99")
+    return summarise(rows, ["panel", "cls", "run_day"], "t_p99")
+
+
+def p5_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    return answers(merged(p5_days(spark, sf), ["panel", "cls"]), ["panel", "cls"], SHARES)
+
+
+def p5_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Of all keys together, by day."""
+    return answers(merged(p5_days(spark, sf), ["run_day"]), ["run_day"], SHARES)
+
+
+def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return token_ids(spread(table(spark, sf, "documents").select("doc_id", "text"))).select("doc_id", "ids")
+
+
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    sizes = checkpointed(token_counts(spread(table(spark, sf, "documents").select("doc_id", "text"))).select("doc_id", "n_tokens"))
+    # the containers on offer are a fixed table of a few rows
+    capacities = [r[0] for r in table(spark, sf, "pack_sizes").select("capacity").where("capacity > 0").distinct().collect()]
+    return pack(sizes, "doc_id", "n_tokens", capacities)
+
+
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    return fill(p8_containers(spark, sf))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return sentence_places(spread(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+QUERIES = {
+    f.__name__: f for f in (p1_found, p1_splits, p3_found, p3_report, p5_percentiles, p5_daily, p7_ids, p8_containers, p8_fill, p9_found)
+}
 
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)).replace("＇", "") + "　 "
 _NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)).replace("'", "") + "  "
