@@ -1,4 +1,9 @@
-"""Queries of the inspection operators."""
+"""Queries of the inspection operators, gathered from their modules."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from __future__ import annotations
+
+from calorgrid.plans import boxes, frames, inventory
+
+_ALL = (frames.query, boxes.query, inventory.query)
+QUERIES = {name: q for r in _ALL for name, q in r.queries.items()}
+SQL = {name: s for r in _ALL for name, s in r.sql.items()}
