@@ -131,7 +131,7 @@ def split_box_merge(spark: SparkSession, sf: str) -> DataFrame:
     return match.merge_split_boxes(boxes(spark, sf), "stem", "det_id", list(range(0, 26, 5)))
 
 
-@query(f"with {_BOX} select stem, string_agg(printf('%d %.6f %.6f %.6f %.6f', cls, (x1 + x2) / 640, (y1 + y2) / 480, (x2 - x1) / 320, (y2 - y1) / 240), chr(10) order by det_id) || chr(10) as text from b group by stem")
+@query(f"with {_BOX} select stem, string_agg(printf('%d %.6f %.6f %.6f %.6f', cls, round_even((x1 + x2) / 640 * 1e6, 0) / 1e6, round_even((y1 + y2) / 480 * 1e6, 0) / 1e6, round_even((x2 - x1) / 320 * 1e6, 0) / 1e6, round_even((y2 - y1) / 240 * 1e6, 0) / 1e6), chr(10) order by det_id) || chr(10) as text from b group by stem")
 def label_text(spark: SparkSession, sf: str) -> DataFrame:
     return label_texts(_shares(spark, sf), "stem", "det_id")
 

@@ -30,14 +30,14 @@ def boxes_of_text(lines: DataFrame, stem: str, text: str, strict: bool = False)
 
 def read_boxes(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Boxes of a folder of label files; the file's name is the stem, control files are left out."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").text(path)
+    files = spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").text(path, wholetext=True)
     named = files.select(F.col("_metadata.file_name").alias("file"), "value").where(~F.col("file").isin(*CONTROL_FILES))
     return boxes_of_text(named.withColumn("stem", _stem("file")), "stem", "value", strict)
 
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:
     """``id, name`` of a class list, one name a line, blanks dropped. The list is one small file."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.filter(F.transform(F.split("value", r"\r?\n"), F.trim), lambda x: x != "")).alias("id", "name"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.filter(F.transform(F.split("value", r"\r?\n"), F.trim), lambda x: x != "")).alias("id", "name"))
     return lines
 
 

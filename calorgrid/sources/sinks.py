@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +32,15 @@ def annotation_xml(boxes: DataFrame, name: str, idx: str, label: str, width: flo
 
 
 def write_annotation_xml(images: DataFrame, path: str) -> None:
-    """Annotation elements as text files of one element a line; each file is a fragment that a reader by row tag takes."""
-    images.select("xml").write.mode("overwrite").text(path)
+    """Annotation elements as text files, each a whole document."""
+
+    def document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": ["<annotations>"]})
+        for pdf in batches:
+            yield pd.DataFrame({"value": pdf["xml"]})
+        yield pd.DataFrame({"value": ["</annotations>"]})
+
+    images.select("xml").mapInPandas(document, "value string").write.mode("overwrite").text(path)
 
 
 def write_report_csv(df: DataFrame, path: str, bom: bool = False) -> None:
