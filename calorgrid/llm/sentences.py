@@ -96,7 +96,7 @@ def _point_ends(text: str, i: int, j: int, listed: bool) -> bool:
     head = text[max(0, i - 40) : i]
     m = _WORD.search(head)
     word = m[0] if m else ""
-    if word not in BEFORE and word not in LAST and any(len(x) > 3 for x in word.split(".")):
+    if word not in BEFORE and word not in LAST and any(len(x) > 2 for x in word.split(".")):
         word = word.rpartition(".")[2]  # behind the end of a sentence without a space
     glued = bool(after) and not after.isspace()
     nxt = after if glued else text[_space_end(text, j) : _space_end(text, j) + 1]
@@ -112,6 +112,8 @@ def _point_ends(text: str, i: int, j: int, listed: bool) -> bool:
         last = word in LAST or spaced
     if word == "no":
         abbreviation = nxt.isdigit()
+    if lead.endswith("_"):  # the end of a name such as t_max
+        abbreviation = last = False
     if glued:
         if after in ",;:-/_\\@=%&+*'’":
             return False

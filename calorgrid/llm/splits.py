@@ -61,9 +61,9 @@ def grouped_splits(
 ) -> DataFrame:
     """``group, split`` for every group of ``records``, by grouped iterative stratification.
 
-    Groups with at least ``heavy_share`` of all records (so at most 1/heavy_share of them) are placed first, together;
-    the others are placed by shards of about ``shard_groups`` groups, each shard with its part of what the heavy groups
-    left open. Labels outside ``labels`` and null ones count as one more label. A null group is a group. Only the label
+    Groups with at least ``heavy_share`` of all records, or of the records of one label, are placed first, together; there
+    are at most (labels + 2)/heavy_share of them, and all groups of a very rare label are among them. The others are
+    placed by shards of about ``shard_groups`` groups, each shard with its part of what the heavy groups left open. Labels outside ``labels`` and null ones count as one more label. A null group is a group. Only the label
     totals and the open need (splits x labels numbers) reach the driver."""
     names = list(proportions)
     known = F.coalesce(F.array_position(F.array(*[F.lit(x) for x in labels]), label).cast("int"), F.lit(0))
@@ -78,7 +78,9 @@ def grouped_splits(
     share = np.array([proportions[x] for x in names], dtype=float)
     share /= share.sum()
     want = np.outer(share, [first[c] for c in cols])
-    bound = max(1.0, heavy_share * first["n"])
+    heavy_group = F.col("n") >= max(1.0, heavy_share * first["n"])
+    for c in cols:
+        heavy_group |= F.col(c) >= max(1.0, heavy_share * first[c])
 
     def of(pdf: pd.DataFrame, need: np.ndarray) -> pd.DataFrame:
         pdf = pdf.sort_values("grp", na_position="first", ignore_index=True)
@@ -86,7 +88,7 @@ def grouped_splits(
         return pd.DataFrame({"grp": pdf["grp"], "split": [names[i] for i in k], "n": pdf["n"], **{c: pdf[c] for c in cols}})
 
     schema = f"grp {dict(vectors.dtypes)['grp']}, split string, n long, " + ", ".join(f"{c} long" for c in cols)
-    heavy = checkpointed(vectors.where(F.col("n") >= bound).groupBy().applyInPandas(lambda pdf: of(pdf, want.copy()), schema))
+    heavy = checkpointed(vectors.where(heavy_group).groupBy().applyInPandas(lambda pdf: of(pdf, want.copy()), schema))
     need = want.copy()
     for row in heavy.groupBy("split").agg(*[F.sum(c).alias(c) for c in cols]).collect():
         need[names.index(row["split"])] -= [row[c] for c in cols]
@@ -96,7 +98,7 @@ def grouped_splits(
     def tail(pdf: pd.DataFrame) -> pd.DataFrame:
         return of(pdf, need * (pdf[cols].sum().to_numpy(dtype=float) / rest_total))
 
-    light = vectors.where(F.col("n") < bound).groupBy(F.pmod(F.xxhash64("grp"), F.lit(shards))).applyInPandas(tail, schema)
+    light = vectors.where(~heavy_group).groupBy(F.pmod(F.xxhash64("grp"), F.lit(shards))).applyInPandas(tail, schema)
     return heavy.unionByName(light).select(F.col("grp").alias(group), "split")
 
 
