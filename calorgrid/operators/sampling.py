@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calorgrid.operators.windows import numbered
+
 
 def shuffled(*key: str, seed: int = 0) -> Column:
     """Order of a seeded shuffle that doesn't depend on partitions: a hash of key and seed."""
@@ -27,9 +29,10 @@ def all_rare_and_some_common(rows: DataFrame, rare: Column, key: str, k: int, se
 
 def cross_review(rows: DataFrame, owner: str, key: str, following: dict[str, str], share: float = 0.1, seed: int = 0) -> DataFrame:
     """``rows`` as ``own``, and max(1, round half to even of share) of each owner's again, as ``cross``, for the next owner."""
-    w = Window.partitionBy(owner)
-    r = F.row_number().over(w.orderBy(shuffled(key, seed=seed), key))
-    cross = rows.withColumn("_r", r).withColumn("_n", F.count("*").over(w)).where(F.col("_r") <= F.greatest(F.lit(1.0), F.rint(F.col("_n") * share))).drop("_r", "_n")
+    ranked = numbered(rows.withColumn("_h", shuffled(key, seed=seed)), [owner], [F.col("_h"), F.col(key)], "_i").drop("_h").alias("r")
+    sizes = rows.groupBy(owner).agg(F.count("*").alias("_n")).alias("s")
+    picked = ranked.join(sizes, F.col(f"r.{owner}").eqNullSafe(F.col(f"s.{owner}"))).where(F.col("_i") < F.greatest(F.lit(1.0), F.rint(F.col("_n") * share)))
+    cross = picked.select(*[F.col(f"r.{c}") for c in rows.columns])
     to = F.create_map(*[F.lit(x) for kv in following.items() for x in kv])
     return rows.withColumn("role", F.lit("own")).unionByName(cross.withColumn(owner, F.try_element_at(to, F.col(owner))).withColumn("role", F.lit("cross")))
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calorgrid.session import checkpointed
+
 
 def with_peer_median(rows: DataFrame, by: Sequence[str], value: str, counted: Column | None = None, least: int = 2, name: str = "peer") -> DataFrame:
     """``rows`` with the median of their group; null with fewer than ``least`` peers. Only ``counted`` rows are peers.
@@ -29,18 +31,35 @@ def run_lengths(rows: DataFrame, by: Sequence[str], order: Sequence[str], hot: C
 
 
 def round_robin(rows: DataFrame, panel: str, date: str, order: Sequence[Column], quota: int, always: Column | None = None) -> DataFrame:
-    """Up to ``quota`` rows of each panel, dealt over its dates in turn; ``always`` rows come first and raise the quota to fit."""
-    first = F.coalesce(always, F.lit(False)) if always is not None else F.lit(False)
-    w = Window.partitionBy(panel, date).orderBy(F.when(first, 0).otherwise(1), *order)
-    dealt = rows.withColumn("_first", F.when(first, 0).otherwise(1)).withColumn("_round", F.row_number().over(w))
+    """Up to ``quota`` rows of each panel, dealt over its dates in turn; ``always`` rows come first and raise the quota to fit.
+
+    Rows beyond the quota-th of their date can't be dealt and are dropped before anything is gathered by panel."""
+    kept = F.coalesce(always, F.lit(False)) if always is not None else F.lit(False)
+    marked = rows.withColumn("_first", F.when(kept, 0).otherwise(1))
+    w = Window.partitionBy(panel, date, "_first").orderBy(*order)
     v = Window.partitionBy(panel).orderBy("_first", "_round", date)
-    dealt = dealt.withColumn("pick", F.row_number().over(v))
+    others = marked.where("_first = 1").withColumn("_round", F.row_number().over(w)).where(F.col("_round") <= quota)
+    dealt = marked.where("_first = 0").withColumn("_round", F.row_number().over(w)).unionByName(others).withColumn("pick", F.row_number().over(v))
     return dealt.where((F.col("pick") <= quota) | (F.col("_first") == 0)).drop("_first", "_round")
 
 
 def numbered(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str = "i") -> DataFrame:
-    """``rows`` with their place in their group's order, from 0."""
-    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
+    """``rows`` with their place in their group's order, from 0; null groups are groups.
+
+    Rows are range-partitioned by (group, order) and written to the checkpoint folder, so a group of any size is spread;
+    a row's place is its position in the whole less that of its group's first row. Ties need a last key to be settled."""
+    keys = [*[F.col(c) for c in by], *order]
+    spread = checkpointed(rows.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn("_id", F.monotonically_increasing_id())
+    spread = spread.withColumn("_part", F.call_function("shiftright", "_id", F.lit(33)))
+    parts = spread.groupBy("_part").agg((F.max("_id") - F.min("_id") + 1).alias("_n"), F.min("_id").alias("_least"))
+    before = Window.partitionBy(F.lit("all")).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_shift"))  # one row a partition
+    placed = spread.join(F.broadcast(starts), "_part").withColumn("_g", F.col("_id") + F.col("_shift"))
+    first = placed.groupBy(*by).agg(F.min("_g").alias("_f")).alias("f")
+    on = F.lit(True)
+    for c in by:
+        on &= F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}"))
+    return placed.alias("r").join(first, on).select(*[F.col(f"r.{c}") for c in rows.columns if c != name], (F.col("r._g") - F.col("f._f")).alias(name))
 
 
 def stride(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str], step: int, limit: int | None = None) -> DataFrame:
@@ -51,6 +70,9 @@ def stride(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str], st
 
 def middle_member(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The upper middle row of each group."""
-    w = Window.partitionBy(*by)
-    out = numbered(rows, by, order, "_i").withColumn("_n", F.count("*").over(w))
-    return out.where(F.col("_i") == F.floor(F.col("_n") / 2)).drop("_i", "_n")
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("_n")).alias("s")
+    on = F.lit(True)
+    for c in by:
+        on &= F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}"))
+    out = numbered(rows, by, order, "_i").alias("r").join(sizes, on)
+    return out.where(F.col("r._i") == F.floor(F.col("s._n") / 2)).select(*[F.col(f"r.{c}") for c in rows.columns])

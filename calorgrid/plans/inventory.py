@@ -85,7 +85,7 @@ def flag_crosstab(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""with d as (select frame_id, source, captured_at::date::varchar as day, stem, split = 'test' as kept from frame_report where source is not null and captured_at is not null),
-r as (select *, row_number() over (partition by source, day order by case when kept then 0 else 1 end, md5(frame_id::varchar || '|0'), frame_id) k from (select frame_id, source, day, coalesce(kept, false) kept from d)),
+r as (select *, row_number() over (partition by source, day, kept order by md5(frame_id::varchar || '|0'), frame_id) k from (select frame_id, source, day, coalesce(kept, false) kept from d)),
 p as (select *, row_number() over (partition by source order by case when kept then 0 else 1 end, k, day) pick from r) select source, frame_id, pick from p where pick <= 40 or kept""")
 def round_robin_sample(spark: SparkSession, sf: str) -> DataFrame:
     f = table(spark, sf, "frame_report").where("source is not null and captured_at is not null").select("frame_id", "source", F.date_format("captured_at", "yyyy-MM-dd").alias("day"), "split")
