@@ -23,22 +23,40 @@ def block_code(text: Column) -> Column:
     return F.aggregate(bits, F.lit(0), lambda a, b: a.bitwiseXOR(b))
 
 
-def _distance(a: str, b: str) -> Column:
-    return sum((F.bit_count(F.col(f"{a}.code")[k].bitwiseXOR(F.col(f"{b}.code")[k])) for k in range(3)), F.lit(0))
-
-
 def keyed_frames(frames: DataFrame) -> DataFrame:
-    """Frames with a split and a stem of the plain form: side, identity of the photo, text, figures."""
+    """Frames with a split and a stem of the plain form: side, text, whether it names one photo, figures, code blocks."""
     side = F.lower(F.regexp_replace("split", r"(?U)\s", ""))
     figure = [F.when(F.abs(F.col(c)) < 1e12, F.col(c) + 0.0).alias(c) for c in FIGURES]
+    blocks = F.array(F.col("k.cabinet"), F.col("k.day"), F.concat_ws("_", "k.camera", "k.frame"))
     return (
         frames.select("frame_id", side.alias("side"), *figure, stem_struct(F.col("stem"), F.col("panel")).alias("k"))
         .where("side in ('train', 'val', 'test') and k.text is not null")
-        .select(
-            "frame_id", (F.col("side") == "train").alias("train"), *FIGURES, "k.text", F.when(F.col("k.valid"), F.col("k.text")).alias("photo"),
-            F.array(F.col("k.cabinet"), F.col("k.day"), F.concat_ws("_", "k.camera", "k.frame")).alias("blocks"),
-        )
-    )
+        .select("frame_id", (F.col("side") == "train").alias("train"), *FIGURES, "k.text", "k.valid", F.transform(blocks, block_code).alias("code"))
+    )
+
+
+_SAME = 3  # the key that stands for the whole photo; 0 to 2 stand for a block
+
+
+def _keys(margin: float) -> Column:
+    """Join keys of a frame: one of its photo, if the stem names one; of each block one for each cell of the figures' grid
+    that lies within ``margin``. Cells are one degree wide, so a frame has few; a frame that lacks a figure has none."""
+    cell = lambda v: F.floor(v).cast("long")
+
+    def crossed(cells: Column, c: str) -> Column:
+        near = F.array_distinct(F.array(cell(F.col(c) - margin), cell(F.col(c) + margin)))
+        return F.flatten(F.transform(cells, lambda h: F.transform(near, lambda g: F.xxhash64(h, g))))
+
+    cells = F.array(F.lit(0).cast("long"))
+    for c in FIGURES:
+        cells = crossed(cells, c)
+    key = lambda k, *parts: F.struct(k.cast("int").alias("block"), F.xxhash64(k.cast("int"), *parts).alias("key"))
+    of_blocks = F.flatten(F.transform(F.array(*[F.lit(k) for k in range(_SAME)]), lambda k: F.transform(cells, lambda h: key(k, F.get(F.col("code"), k), h))))
+    none = F.array().cast("array<struct<block:int,key:bigint>>")
+    whole = F.lit(True)
+    for c in FIGURES:
+        whole &= F.col(c).isNotNull()
+    return F.concat(F.when(F.col("valid"), F.array(key(F.lit(_SAME), F.col("text")))).otherwise(none), F.when(whole, of_blocks).otherwise(none))
 
 
 def cross_split_pairs(frames: DataFrame, edits: int = 2, tolerance: float = 0.1) -> DataFrame:
@@ -48,46 +66,25 @@ def cross_split_pairs(frames: DataFrame, edits: int = 2, tolerance: float = 0.1)
     figures are present and agree. A plain stem has three blocks (cabinet; day; camera and frame), so that one block at
     least is the same in both texts of a near pair; blocks are compared by their code, joined within one cell of the
     figures' grid, and the whole code must lie within the Hamming radius ``4 * edits`` before the texts are compared.
-    Frames alike in text and figures are one class until the last join. Null split, stem or figure: no pair by it."""
+    A pair comes out at the first block its codes share. Null split, stem or figure: no pair by it. A frame_id is taken
+    to be unique; every row of a repeated one has its pairs."""
     if edits > 2:
         raise ValueError("three blocks find texts that are at most two letters apart")
     base = keyed_frames(frames)
-    a, b = base.where("train"), base.where("not train")
-    same = a.where("photo is not null").select(F.col("frame_id").alias("x"), "photo").join(b.select(F.col("frame_id").alias("y"), "photo"), "photo").select("x", "y")
-
-    whole = " and ".join(f"{c} is not null" for c in FIGURES)
-    classes = (
-        base.where(whole)
-        .groupBy("text", *FIGURES, "train")
-        .agg(F.first("blocks").alias("blocks"), F.first("photo").alias("photo"))
-        .withColumn("code", F.transform("blocks", block_code))
-        .withColumn("block", F.explode(F.array(*[F.lit(k) for k in range(3)])))
-        .withColumn("bits", F.col("code")[F.col("block")])
-        .drop("blocks")
-    )
-    cell = lambda v: F.floor(v).cast("long")
     eps = tolerance + 1e-9
-    left = classes.where("train").select(*[cell(F.col(c)).alias(f"g{i}") for i, c in enumerate(FIGURES)], "block", "bits", F.struct("text", *FIGURES, "code", "photo").alias("a"))
-    right = classes.where("not train").select("block", "bits", F.struct("text", *FIGURES, "code", "photo").alias("b"))
-    for i, c in enumerate(FIGURES):  # a cell is one degree wide; a class near its rim stands in both cells
-        right = right.withColumn(f"g{i}", F.explode(F.array_distinct(F.array(cell(F.col(f"b.{c}") - eps), cell(F.col(f"b.{c}") + eps)))))
-    close = _distance("a", "b") <= 4 * edits
+    side = lambda rows, margin, name: rows.select("frame_id", *FIGURES, "text", "valid", "code", F.inline(_keys(margin))).alias(name)
+    left, right = side(base.where("train"), 0.0, "a"), side(base.where("not train"), eps, "b")
+    block = F.col("a.block")
+    codes = [(F.col("a.code")[k], F.col("b.code")[k]) for k in range(_SAME)]
+    near = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in codes), F.lit(0)) <= 4 * edits
     for c in FIGURES:
-        close &= F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= eps
-    first = F.lit(True)  # a pair counts in the first block that its codes share
-    for k in range(2):
-        first &= (F.col("block") <= k) | (F.col("a.code")[k] != F.col("b.code")[k])
-    alike = left.join(right, [*[f"g{i}" for i in range(len(FIGURES))], "block", "bits"]).where(close & first)
-    alike = alike.where((F.levenshtein("a.text", "b.text", edits) >= 0) & ~F.coalesce(F.col("a.photo") == F.col("b.photo"), F.lit(False))).select("a", "b")
-
-    def members(rows: DataFrame, name: str, side: str) -> DataFrame:
-        return rows.where(whole).select(F.col("frame_id").alias(name), *[F.col(c).alias(f"{side}_{c}") for c in ("text", *FIGURES)])
-
-    near = alike.select(*[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("text", *FIGURES)])
-    for rows, name, side in ((a, "x", "a"), (b, "y", "b")):
-        near = near.join(members(rows, name, side), [f"{side}_{c}" for c in ("text", *FIGURES)])
-    pairs = same.unionByName(near.select("x", "y"))
-    return pairs.select(F.least("x", "y").alias("frame_id_a"), F.greatest("x", "y").alias("frame_id_b"))
+        near &= F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= eps
+    for k in range(_SAME - 1):
+        near &= (block <= k) | (codes[k][0] != codes[k][1])
+    same = F.col("a.text") == F.col("b.text")
+    near &= ~(same & F.col("a.valid") & F.col("b.valid")) & (F.levenshtein("a.text", "b.text", edits) >= 0)
+    pairs = left.join(right, (F.col("a.key") == F.col("b.key")) & (block == F.col("b.block")) & F.when(block == _SAME, same).otherwise(near))
+    return pairs.select(F.least("a.frame_id", "b.frame_id").alias("frame_id_a"), F.greatest("a.frame_id", "b.frame_id").alias("frame_id_b"))
 
 
 def overlap_report(frames: DataFrame, pairs: DataFrame) -> DataFrame:
