@@ -8,6 +8,8 @@ functions are composed by a parallel prefix scan, and with its start state each
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,12 +42,13 @@ _MARKS = ".!?…。！？｡．।॥؟۔‼⁇⁈⁉።፧។៕၊။"
 _CLOSERS = ")]}）］】〕｝"
 _QUOTES = "“”„«»「」『』‘’‚\"‹›＂"
 _BREAK = r"(?:\r\n|[\n\r\x0b\x0c\x85  ])"
-_LINE = regex.compile(_BREAK)
-_SCAN = regex.compile(
-    rf"(?P<line>[^\S\n\r\x0b\x0c\x85  ]*{_BREAK}\s*)|(?P<gap>(?<=\p{{Thai}})\s+|\s+(?=\p{{Thai}}))|(?P<mark>[{_MARKS}]+)|(?P<quote>[{_QUOTES}])"
-)
+_LINE = re.compile(_BREAK)
+_LINES = rf"(?P<line>[^\S\n\r\x0b\x0c\x85  ]*{_BREAK}\s*)"
+_SIGNS = rf"|(?P<mark>[{_MARKS}]+)|(?P<quote>[{_QUOTES}])"
+_SCAN = re.compile(_LINES + _SIGNS)
+_THAI = re.compile("[\u0e00-\u0e7f]")
+_SCAN_THAI = re.compile(_LINES + "|(?P<gap>(?<=[\u0e00-\u0e7f])\\s+|\\s+(?=[\u0e00-\u0e7f]))" + _SIGNS)
 _LIST = regex.compile(r"(?:[-*•‣◦]|\d{1,3}[.)]|\p{L}\)|#{1,6})(?=\s)")
-_WORD = regex.compile(r"[\p{L}\p{M}]+(?:[.-][\p{L}\p{M}]+)*$")
 _CJK = regex.compile(r"[\p{Hangul}\p{Han}\p{Hiragana}\p{Katakana}ー]")
 _LETTER = regex.compile(r"\p{L}")
 _FILE_END = regex.compile(r"(?:jpe?g|png|txt|npy|csv|xml|json|pdf|zip|tiff?|log|dat|md|py)(?![\p{L}\d])", regex.I)
@@ -84,6 +87,21 @@ def _space_end(text: str, j: int) -> int:
     return j
 
 
+def _letter(c: str) -> bool:
+    return c.isalpha() or (c > "\u02ff" and unicodedata.category(c)[0] == "M")
+
+
+def _word_before(head: str) -> str:
+    """The word that ``head`` ends with, single points and hyphens inside included."""
+    k = n = len(head)
+    while k > 0:
+        c = head[k - 1]
+        if not (_letter(c) or (c in ".-" and 1 < k < n and head[k] not in ".-" and _letter(head[k - 2]))):
+            break
+        k -= 1
+    return head[k:]
+
+
 def _begins(c: str) -> bool:
     """Whether a sentence may begin with ``c`` behind an abbreviation."""
     return not c or (c.isalpha() and not c.islower()) or c.isdigit() or c in _QUOTES or c in "¿¡#([（" or ord(c) > 0x1F000
@@ -93,9 +111,12 @@ def _point_ends(text: str, i: int, j: int, listed: bool) -> bool:
     """Whether the single point text[i:j] ends a sentence if no quotation is open."""
     before = text[i - 1] if i else ""
     after = text[j] if j < len(text) else ""
+    if after.isdigit() and not before.isalpha():
+        return False
+    if after.islower() and not _SNAKE.match(text, j):
+        return False
     head = text[max(0, i - 40) : i]
-    m = _WORD.search(head)
-    word = m[0] if m else ""
+    word = _word_before(head)
     if word not in BEFORE and word not in LAST and any(len(x) > 2 for x in word.split(".")):
         word = word.rpartition(".")[2]  # behind the end of a sentence without a space
     glued = bool(after) and not after.isspace()
@@ -103,7 +124,7 @@ def _point_ends(text: str, i: int, j: int, listed: bool) -> bool:
     cased = bool(word) and (word.lower() != word.upper())
     lead = head[: len(head) - len(word)]
     unit = len(word) == 1 and word.isupper() and bool(regex.search(r"\d\s?$|°$", lead))
-    spaced = bool(LAST_SPACED.search(head))
+    spaced = before in "mMдпaAäÄ" and bool(LAST_SPACED.search(head))
     abbreviation = word in BEFORE or word[:1].lower() + word[1:] in BEFORE or (len(word) == 1 and cased and not unit)
     if word in ("Min", "min", "max", "Max") and regex.search(r"\d\s$", lead):
         abbreviation = False
@@ -178,7 +199,7 @@ def lex(text: str, start: int, stop: int, first: bool) -> list[tuple[int, int, i
             k -= 1
         m = _LIST.match(text, _space_end(text, k)) if k == 0 or _LINE.match(text, k - 1) else None
         marked = m.end() if m else -1
-    for m in _SCAN.finditer(text, start):
+    for m in (_SCAN_THAI if _THAI.search(text) else _SCAN).finditer(text, start):
         i, j = m.span()
         if i >= stop:
             break
