@@ -24,13 +24,14 @@ def block_code(text: Column) -> Column:
 
 
 def keyed_frames(frames: DataFrame) -> DataFrame:
-    """Frames with a split and a stem of the plain form: side, text, whether it names one photo, figures, code blocks."""
+    """Frames with a split: side, text (null without a stem of the plain form), whether it names one photo, figures, code
+    blocks. Null texts are dropped where keys are made: a filter here would parse every stem twice."""
     side = F.lower(F.regexp_replace("split", r"(?U)\s", ""))
     figure = [F.when(F.abs(F.col(c)) < 1e12, F.col(c) + 0.0).alias(c) for c in FIGURES]
     blocks = F.array(F.col("k.cabinet"), F.col("k.day"), F.concat_ws("_", "k.camera", "k.frame"))
     return (
         frames.select("frame_id", side.alias("side"), *figure, stem_struct(F.col("stem"), F.col("panel")).alias("k"))
-        .where("side in ('train', 'val', 'test') and k.text is not null")
+        .where("side in ('train', 'val', 'test')")
         .select("frame_id", (F.col("side") == "train").alias("train"), *FIGURES, "k.text", "k.valid", F.transform(blocks, block_code).alias("code"))
     )
 
@@ -53,7 +54,7 @@ def _keys(margin: float) -> Column:
     key = lambda k, *parts: F.struct(k.cast("int").alias("block"), F.xxhash64(k.cast("int"), *parts).alias("key"))
     of_blocks = F.flatten(F.transform(F.array(*[F.lit(k) for k in range(_SAME)]), lambda k: F.transform(cells, lambda h: key(k, F.get(F.col("code"), k), h))))
     none = F.array().cast("array<struct<block:int,key:bigint>>")
-    whole = F.lit(True)
+    whole = F.col("text").isNotNull()
     for c in FIGURES:
         whole &= F.col(c).isNotNull()
     return F.concat(F.when(F.col("valid"), F.array(key(F.lit(_SAME), F.col("text")))).otherwise(none), F.when(whole, of_blocks).otherwise(none))

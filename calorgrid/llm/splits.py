@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calorgrid.functions.keys import stem_struct
+from calorgrid.functions.keys import let, stem_struct
 from calorgrid.operators.components import connected_components
 from calorgrid.session import checkpointed
 
@@ -23,7 +23,9 @@ def cabinet_groups(frames: DataFrame, moves: DataFrame) -> DataFrame:
     old, new = (stem_struct(F.concat(F.col(c), F.lit("_")), F.lit(None).cast("string"))["cabinet"] for c in ("old_key", "new_key"))
     links = moves.select(F.coalesce(old, F.col("old_key")).alias("a"), F.coalesce(new, F.col("new_key")).alias("b"))
     groups = connected_components(links, "a", "b").withColumnRenamed("node", "cabinet")
-    keyed = frames.select("frame_id", stem_struct(F.col("stem"), F.col("panel"))["cabinet"].alias("cabinet")).where("cabinet is not null")
+    # a generator drops frames without a cabinet; a filter would parse every stem twice
+    named = let(stem_struct(F.col("stem"), F.col("panel")), lambda k: F.when(k.isNotNull(), F.array(F.struct(k["cabinet"].alias("cabinet")))))
+    keyed = frames.select("frame_id", F.inline(named))
     return keyed.join(groups, "cabinet", "left").select("frame_id", F.coalesce("component", "cabinet").alias("group_key"))
 
 
