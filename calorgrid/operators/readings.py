@@ -68,10 +68,10 @@ def _found(pdf: pd.DataFrame, mask: np.ndarray, kind: str, part: int) -> pd.Data
     return out.assign(kind=kind, part=part)[["det_id", "kind", "spot_id", "at", "t_max", "t_p99", "part"]]
 
 
-def _spike_mask(pdf: pd.DataFrame, stats: list[tuple[float, float]] | None, least: float, times: float) -> np.ndarray:
-    mask = np.zeros(len(pdf), dtype=bool)
-    for k, c in enumerate(_COLUMNS):
-        v = pdf[c].to_numpy(dtype=float)
+def _spike_mask(columns: list[np.ndarray], stats: list[tuple[float, float]] | None, least: float, times: float) -> np.ndarray:
+    """Spikes of one source by any of its columns (NaN where there is no reading); middle and spread are found if not given."""
+    mask = np.zeros(len(columns[0]), dtype=bool)
+    for k, v in enumerate(columns):
         there = ~np.isnan(v)
         x = v[there]
         if len(x):
@@ -80,7 +80,16 @@ def _spike_mask(pdf: pd.DataFrame, stats: list[tuple[float, float]] | None, leas
                 spread = float(np.median(np.abs(x - middle)))
             else:
                 middle, spread = stats[k]
-            mask[np.flatnonzero(there)] |= spikes(x, middle, spread, least, times)
+            mask[there] |= spikes(x, middle, spread, least, times)
+    return mask
+
+
+def _stuck_mask(v: np.ndarray, least: int) -> np.ndarray:
+    there = ~np.isnan(v)
+    run, length = runs_without_detail(v[there])
+    mask = np.zeros(len(v), dtype=bool)
+    if len(run):
+        mask[there] = length[run] >= least
     return mask
 
 
@@ -113,22 +122,17 @@ def faulty_readings(dets: DataFrame, least: float = 8.0, times: float = 12.0, st
                 done = np.concatenate([[0], cuts]).astype(int)
             else:
                 continue
+            columns = [held[c].to_numpy(dtype=float) for c in _COLUMNS]
+            spike, stuck = np.zeros(len(held), dtype=bool), np.zeros(len(held), dtype=bool)
             for a, b in zip(done[:-1], done[1:], strict=True):
-                one = held.iloc[a:b]
-                yield _found(one, _spike_mask(one, None, least, times), "spike", part)
-                yield _found(one, _stuck_mask(one), "stuck", part)
+                spike[a:b] = _spike_mask([v[a:b] for v in columns], None, least, times)
+                stuck[a:b] = _stuck_mask(columns[0][a:b], stuck_run)
+            yield _found(held, spike, "spike", part)
+            yield _found(held, stuck, "stuck", part)
             held = held.iloc[done[-1] :].reset_index(drop=True)
         if held is not None and len(held):
             yield _found(held, np.ones(len(held), dtype=bool), "edge", part)
 
-    def _stuck_mask(one: pd.DataFrame) -> np.ndarray:
-        v = one["t_max"].to_numpy(dtype=float)
-        there = ~np.isnan(v)
-        run, length = runs_without_detail(v[there])
-        mask = np.zeros(len(one), dtype=bool)
-        mask[np.flatnonzero(there)] = length[run] >= stuck_run if len(run) else False
-        return mask
-
     stage = checkpointed(spread.mapInPandas(local, _STAGE))
     edge = stage.where("kind = 'edge'")
     long = edge.select("spot_id", F.inline(F.array(*[F.struct(F.lit(k).alias("c"), F.col(c).alias("v")) for k, c in enumerate(_COLUMNS)])))
@@ -155,7 +159,7 @@ def faulty_readings(dets: DataFrame, least: float = 8.0, times: float = 12.0, st
     def segment(one: pd.DataFrame) -> Iterator[pd.DataFrame]:
         part = int(one["part"].iloc[0])
         known = [(float(one[f"middle{k}"].iloc[0]), float(one[f"spread{k}"].iloc[0])) for k in range(2)]
-        yield _found(one, _spike_mask(one, known, least, times), "spike", part)
+        yield _found(one, _spike_mask([one[c].to_numpy(dtype=float) for c in _COLUMNS], known, least, times), "spike", part)
         v = one["t_max"].to_numpy(dtype=float)
         where = np.flatnonzero(~np.isnan(v))
         run, length = runs_without_detail(v[where])
