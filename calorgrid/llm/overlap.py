@@ -32,16 +32,19 @@ def keyed_frames(frames: DataFrame) -> DataFrame:
     return (
         frames.select("frame_id", side.alias("side"), *figure, stem_struct(F.col("stem"), F.col("panel")).alias("k"))
         .where("side in ('train', 'val', 'test')")
-        .select("frame_id", (F.col("side") == "train").alias("train"), *FIGURES, "k.text", "k.valid", F.transform(blocks, block_code).alias("code"))
+        .select("frame_id", (F.col("side") == "train").alias("train"), *FIGURES, "k.text", "k.valid", F.aggregate(F.reverse(blocks), F.lit(0).cast("long"), lambda c, x: F.call_function("shiftleft", c, F.lit(_BITS)).bitwiseOR(block_code(x).cast("long"))).alias("code"))
     )
 
 
+def _block(code: Column, k: int) -> Column:
+    return F.call_function("shiftright", code, F.lit(k * _BITS)).bitwiseAND(F.lit((1 << _BITS) - 1).cast("long"))
+
+
 _SAME = 3  # the key that stands for the whole photo; 0 to 2 stand for a block
 
 
-def _keys(margin: float) -> Column:
-    """Join keys of a frame: one of its photo, if the stem names one; of each block one for each cell of the figures' grid
-    that lies within ``margin``. Cells are one degree wide, so a frame has few; a frame that lacks a figure has none."""
+def _cells(margin: float) -> Column:
+    """Cells of the figures' grid, one degree wide, that lie within ``margin`` of a frame."""
     cell = lambda v: F.floor(v).cast("long")
 
     def crossed(cells: Column, c: str) -> Column:
@@ -51,8 +54,18 @@ def _keys(margin: float) -> Column:
     cells = F.array(F.lit(0).cast("long"))
     for c in FIGURES:
         cells = crossed(cells, c)
+    return cells
+
+
+def _keys() -> Column:
+    """Join keys of a frame: one of its photo, if the stem names one; of each block one for each of its cells, if the frame
+    has all figures."""
     key = lambda k, *parts: F.struct(k.cast("int").alias("block"), F.xxhash64(k.cast("int"), *parts).alias("key"))
-    of_blocks = F.flatten(F.transform(F.array(*[F.lit(k) for k in range(_SAME)]), lambda k: F.transform(cells, lambda h: key(k, F.get(F.col("code"), k), h))))
+
+    def of_block(k: int) -> Column:
+        return F.transform("cells", lambda h: key(F.lit(k), _block(F.col("code"), k), h))
+
+    of_blocks = F.concat(*[of_block(k) for k in range(_SAME)])
     none = F.array().cast("array<struct<block:int,key:bigint>>")
     whole = F.col("text").isNotNull()
     for c in FIGURES:
@@ -73,15 +86,14 @@ def cross_split_pairs(frames: DataFrame, edits: int = 2, tolerance: float = 0.1)
         raise ValueError("three blocks find texts that are at most two letters apart")
     base = keyed_frames(frames)
     eps = tolerance + 1e-9
-    side = lambda rows, margin, name: rows.select("frame_id", *FIGURES, "text", "valid", "code", F.inline(_keys(margin))).alias(name)
+    side = lambda rows, margin, name: rows.withColumn("cells", _cells(margin)).select("frame_id", *FIGURES, "text", "valid", "code", F.inline(_keys())).alias(name)
     left, right = side(base.where("train"), 0.0, "a"), side(base.where("not train"), eps, "b")
     block = F.col("a.block")
-    codes = [(F.col("a.code")[k], F.col("b.code")[k]) for k in range(_SAME)]
-    near = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in codes), F.lit(0)) <= 4 * edits
+    near = F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= 4 * edits
     for c in FIGURES:
         near &= F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= eps
     for k in range(_SAME - 1):
-        near &= (block <= k) | (codes[k][0] != codes[k][1])
+        near &= (block <= k) | (_block(F.col("a.code"), k) != _block(F.col("b.code"), k))
     same = F.col("a.text") == F.col("b.text")
     near &= ~(same & F.col("a.valid") & F.col("b.valid")) & (F.levenshtein("a.text", "b.text", edits) >= 0)
     pairs = left.join(right, (F.col("a.key") == F.col("b.key")) & (block == F.col("b.block")) & F.when(block == _SAME, same).otherwise(near))
