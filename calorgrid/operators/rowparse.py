@@ -12,9 +12,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from calorgrid.functions.keys import let
+
 FIELDS = {"txt": 5, "csv": 7}
 _START, _BARE, _INSIDE, _BEHIND, _AFTER = range(5)
 #: free moves of the automaton, by token: a delimiter outside quotes also begins the next field
@@ -146,12 +148,19 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     plain = F.coalesce(short & F.when(csv, F.col("raw").rlike(_PLAIN_CSV)).otherwise(F.col("raw").rlike(_PLAIN_TXT)), F.lit(False))
     parts = F.when(csv, F.split(F.regexp_replace("raw", r"[\s\"]", ""), ",", 7)).otherwise(F.split(F.regexp_replace("raw", r"^\s+", ""), r"\s+"))
     base = F.when(csv, 1).otherwise(0)
-    cut = rows.withColumn("parts", F.when(plain, parts))
     names = ("cx", "cy", "bw", "bh")
-    cut = cut.withColumn("cls", F.get("parts", base).try_cast("int")).withColumns({c: F.get("parts", base + (i + 1)).try_cast("double") for i, c in enumerate(names)})
-    good = "cls between 0 and 25 and cx between 0 and 1 and cy between 0 and 1 and bw > 0 and bw <= 1 and bh > 0 and bh <= 1"
-    cut = cut.withColumn("good", F.coalesce(F.expr(good), F.lit(False)))
-    loaded = cut.where("good").select("line_id", "cls", *names, F.lit(None).cast("string").alias("reason"), F.array().cast("array<string>").alias("edits"))
+
+    def values(p: Column) -> Column:
+        return F.struct(F.get(p, base).try_cast("int").alias("cls"), *[F.get(p, base + (i + 1)).try_cast("double").alias(c) for i, c in enumerate(names)])
+
+    def good(v: Column) -> Column:
+        inside = v["cls"].between(0, 25) & v["cx"].between(0, 1) & v["cy"].between(0, 1)
+        return inside & (v["bw"] > 0) & (v["bw"] <= 1) & (v["bh"] > 0) & (v["bh"] <= 1)
+
+    # computed once a row: filters on its parts would parse the record again for each of them
+    found = F.when(plain, let(parts, lambda p: let(values(p), lambda v: F.when(good(v), v))))
+    loaded = rows.select("line_id", F.inline(let(found, lambda v: F.when(v.isNotNull(), F.array(v)))))
+    loaded = loaded.select("line_id", "cls", *names, F.lit(None).cast("string").alias("reason"), F.array().cast("array<string>").alias("edits"))
 
     def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -162,4 +171,4 @@ def parse_lines(lines: DataFrame) -> DataFrame:
                 {"line_id": pdf["line_id"], "cls": pd.array(columns[0], dtype="Int32"), **{c: pd.array(columns[i + 1], dtype="Float64") for i, c in enumerate(names)}, "reason": [r for _, r, _ in found], "edits": [e for _, _, e in found]}
             )
 
-    return loaded.unionByName(cut.where("not good").select("line_id", "feed", "raw").mapInPandas(rest, _OUT))
+    return loaded.unionByName(rows.where(found.isNull()).mapInPandas(rest, _OUT))
