@@ -82,20 +82,32 @@ def exact_duplicates(rows: DataFrame, ident: str, content: str) -> DataFrame:
     return rows.where(F.col(content).isNotNull()).groupBy(F.sha2(content, 256).alias("digest")).agg(F.min(ident).alias("first_id"), F.count("*").alias("n")).where("n > 1")
 
 
+def members(rows: DataFrame, ident: str, content: str) -> DataFrame:
+    """``ident, class_id, n`` of every row with a content: rows of equal content (a digest, a code) are one class, told by its
+    smallest id, of ``n`` rows. The classes are joined back, so that no class is gathered in one task."""
+    keyed = rows.where(F.col(content).isNotNull()).select(F.col(ident), F.col(content).alias("_c"))
+    classes = keyed.groupBy("_c").agg(F.min(ident).alias("class_id"), F.count("*").alias("n"))
+    return keyed.join(classes, "_c").select(ident, "class_id", "n")
+
+
 def sign_hash(vector: str, bits: int = 64) -> Column:
-    """64-bit perceptual hash of a small raster: which of its values lie above their mean."""
+    """64-bit perceptual hash of a small raster: which of its values lie above their mean; null where there is no finite mean,
+    so that rasters without values aren't copies of each other."""
     from calorgrid.functions.keys import let
+    from calorgrid.functions.numeric import finite
 
     def hashed(v: Column) -> Column:
-        mean = F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double")) / F.size(v)
-        return let(mean, lambda m: F.aggregate(F.sequence(F.lit(0), F.lit(bits - 1)), F.lit(0).cast("long"), lambda s, i: s.bitwiseOR(F.when(F.get(v, i).cast("double") > m, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))))
+        mean = F.when(F.size(v) > 0, F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double")) / F.size(v))
+        code = lambda m: F.aggregate(F.sequence(F.lit(0), F.lit(bits - 1)), F.lit(0).cast("long"), lambda s, i: s.bitwiseOR(F.when(F.get(v, i).cast("double") > m, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))))
+        return let(mean, lambda m: F.when(finite(m).isNotNull(), code(m)))
 
     return hashed(F.col(vector))
 
 
 def near_hashes(rows: DataFrame, ident: str, code: str, radius: int = 3, bits: int = 64) -> DataFrame:
     """``id_a, id_b, distance`` of codes within Hamming ``radius``: joined on ``radius + 1`` segments, one of which must be the
-    same; a pair comes out at its first common segment only. Equal codes are one class, told by its smallest id."""
+    same; a pair comes out at its first common segment only. Equal codes are one class, told by its smallest id; ``members``
+    has the class of each row."""
     width = bits // (radius + 1)
     reps = rows.where(F.col(code).isNotNull()).groupBy(F.col(code).alias("c")).agg(F.min(ident).alias("id"))
     segment = lambda c, k: F.call_function("shiftrightunsigned", c, F.lit(k * width)).bitwiseAND(F.lit((1 << width) - 1))

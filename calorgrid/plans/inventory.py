@@ -159,10 +159,20 @@ def exact_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.exact_duplicates(table(spark, sf, "documents"), "doc_id", "text")
 
 
+@query("select doc_id, min(doc_id) over (partition by sha256(text)) class_id, count(*) over (partition by sha256(text)) n from documents where text is not null")
+def exact_duplicate_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document with the class (smallest id) of its content, beside the classes of ``exact_duplicates``."""
+    return similarity.members(table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("digest")), "doc_id", "digest")
+
+
 @query()
 def perceptual_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """``kind`` near: representatives (smallest ids) of two codes within 7 bits; member: each raster ``id_b`` with a code and
+    the representative ``id_a`` of its code, itself where it is the first. Both together tell all links."""
     e = table(spark, sf, "embeddings").select("vec_id", similarity.sign_hash("embedding").alias("code"))
-    return similarity.near_hashes(e, "vec_id", "code", 7)
+    near = similarity.near_hashes(e, "vec_id", "code", 7).select(F.lit("near").alias("kind"), "id_a", "id_b", "distance")
+    own = similarity.members(e, "vec_id", "code").select(F.lit("member").alias("kind"), F.col("class_id").alias("id_a"), F.col("vec_id").alias("id_b"), F.lit(0).alias("distance"))
+    return near.unionByName(own)
 
 
 @query("with e as (select vec_id, embedding::double[] v from embeddings) select vec_id, round(len(list_filter(v, lambda x: x >= list_max(v) - 0.1)) * 100 / len(v), 6) as hot_pct from e")
