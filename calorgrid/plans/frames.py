@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +22,14 @@ DEFAULT = {"method": "PHASE", "caution": 5.0, "warn": 15.0, "critical": 40.0}
 _RULES_SQL = "rules(cls, method, s1, s2, s3) as (values " + ", ".join(str(r) for r in RULES) + ")"
 
 
-def readings(spark: SparkSession, sf: str) -> DataFrame:
-    """Detections whose temperatures are numbers."""
+#: what the SQL of the queries asks of a detection
+_NEED = ("t_p99", "t_max", "dt_amb")
+
+
+def readings(spark: SparkSession, sf: str, need: Sequence[str] = _NEED) -> DataFrame:
+    """Detections whose temperatures named by ``need`` are numbers; any other that is no number is null."""
     d = table(spark, sf, "frame_dets").select("det_id", "stem", "cls", "conf", finite(F.col("t_p99")).alias("t_p99"), finite(F.col("t_max")).alias("t_max"), finite(F.col("dt_amb")).alias("dt_amb"), "n_px", "captured_at")
-    return d.where("t_p99 is not null and t_max is not null and dt_amb is not null")
+    return d.dropna(subset=list(need)) if need else d
 
 
 _READ = """d as (select det_id, stem, cls, conf, t_p99, t_max, dt_amb, n_px, captured_at from frame_dets where isfinite(t_p99) and isfinite(t_max) and isfinite(dt_amb))"""
@@ -36,28 +43,30 @@ j as (select *, case when x >= c then 4 when x >= b then 3 when x >= a then 2 el
   case when method = 'ABS' then 'value' when method = 'PHASE' and peer is null then 'ambient, no peer' when method = 'PHASE' then 'peer' else 'ambient' end as basis from v)"""
 
 
-def _judged(spark: SparkSession, sf: str) -> DataFrame:
+def _judged(spark: SparkSession, sf: str, need: Sequence[str]) -> DataFrame:
+    """Detections with verdict and basis; where ambient must judge and isn't known, the verdict is null."""
     rules = spark.createDataFrame(RULES, "cls int, method string, caution double, warn double, critical double")
-    peers = windows.with_peer_median(readings(spark, sf), ["stem", "cls"], "t_p99")
+    peers = windows.with_peer_median(readings(spark, sf, need), ["stem", "cls"], "t_p99")
     ruled = with_rules(peers, rules, "cls", DEFAULT)
     grade, basis = judged(F.col("t_p99"), F.col("t_p99") - F.col("dt_amb"), F.col("peer"), F.col("method"), [F.col(c) for c in ("caution", "warn", "critical")], (15.0, 30.0, 50.0))
-    return ruled.withColumn("verdict", grade).withColumn("basis", basis)
+    unknown = basis.startswith("ambient") & F.col("dt_amb").isNull()
+    return ruled.withColumn("verdict", F.when(~unknown, grade)).withColumn("basis", basis)
 
 
 @query(f"""with {_JUDGED}, f as (select stem, count(*) n_det, arg_max(struct_pack(d := det_id, c := cls, v := r, t := t_p99), (r, -det_id)) w from j group by stem),
 i as (select stem, min(frame_id) frame_id from frame_report where stem is not null group by stem)
 select i.frame_id, i.stem, coalesce(n_det, 0) as n_det, case when n_det is null then 'none' else ['normal', 'caution', 'abnormal', 'critical'][w.v] end as verdict, w.c as worst_cls, w.t as worst_temp from i left join f using (stem)""")
-def component_judgement(spark: SparkSession, sf: str) -> DataFrame:
+def component_judgement(spark: SparkSession, sf: str, need: Sequence[str] = _NEED) -> DataFrame:
     """Every frame of the index with its worst component: peers by (frame, class), rules by class, worst by grade."""
-    j = _judged(spark, sf).withColumn("r", rank(F.col("verdict")))
+    j = _judged(spark, sf, need).withColumn("r", rank(F.col("verdict")))
     worst = j.groupBy("stem").agg(F.count("*").alias("n_det"), F.max_by(F.struct("cls", "verdict", "t_p99"), F.struct("r", -F.col("det_id"))).alias("w"))
     index = table(spark, sf, "frame_report").where("stem is not null").groupBy("stem").agg(F.min("frame_id").alias("frame_id"))
     return index.join(worst, "stem", "left").select("frame_id", "stem", F.coalesce("n_det", F.lit(0)).alias("n_det"), F.coalesce("w.verdict", F.lit("none")).alias("verdict"), F.col("w.cls").alias("worst_cls"), F.col("w.t_p99").alias("worst_temp"))
 
 
 @query(f"with {_JUDGED} select det_id, ['normal', 'caution', 'abnormal', 'critical'][r] as verdict, basis || case when n_px < 200 then ' (few pixels)' else '' end as basis from j")
-def detection_verdicts(spark: SparkSession, sf: str) -> DataFrame:
-    return _judged(spark, sf).select("det_id", "verdict", F.concat("basis", F.when(F.col("n_px") < 200, " (few pixels)").otherwise("")).alias("basis"))
+def detection_verdicts(spark: SparkSession, sf: str, need: Sequence[str] = _NEED) -> DataFrame:
+    return _judged(spark, sf, need).select("det_id", "verdict", F.concat("basis", F.when(F.col("n_px") < 200, " (few pixels)").otherwise("")).alias("basis"))
 
 
 @query("with c as (select user_id, quantile_cont(value, 0.1) q from events group by 1) select user_id, round(avg(value), 6) as ambient from events join c using (user_id) where value <= q group by 1")
@@ -109,15 +118,15 @@ def frame_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"with {_READ} select cls, count(*) n, round(median(t_p99), 6) med, round(quantile_cont(t_p99, 0.9), 6) p90, round(quantile_cont(t_p99, 0.99), 6) p99, max(t_p99) most, count_if(t_p99 >= 60) hot, round(median(dt_amb), 6) rise from d group by cls having count(*) >= 5")
-def class_profile(spark: SparkSession, sf: str) -> DataFrame:
+def class_profile(spark: SparkSession, sf: str, need: Sequence[str] = _NEED) -> DataFrame:
     q = stats.quantile_columns("t_p99", {"med": 0.5, "p90": 0.9, "p99": 0.99})
-    out = readings(spark, sf).groupBy("cls").agg(F.count("*").alias("n"), *q, F.max("t_p99").alias("most"), F.count_if(F.col("t_p99") >= 60).alias("hot"), F.median("dt_amb").alias("rise")).where("n >= 5")
+    out = readings(spark, sf, need).groupBy("cls").agg(F.count("*").alias("n"), *q, F.max("t_p99").alias("most"), F.count_if(F.col("t_p99") >= 60).alias("hot"), F.median("dt_amb").alias("rise")).where("n >= 5")
     return out.select("cls", "n", "most", "hot", *[F.round(c, 6).alias(c) for c in ("med", "p90", "p99", "rise")])
 
 
 @query(f"with {_READ}, s as (select stem, cls, max(t_p99) - min(t_p99) x from d group by all having count(*) >= 2) select cls, count(*) n, round(median(x), 6) med, round(quantile_cont(x, 0.9), 6) p90, round(quantile_cont(x, 0.99), 6) p99, round(max(x), 6) most, count_if(x > 5) over_5, count_if(x > 15) over_15 from s group by cls")
-def phase_spread(spark: SparkSession, sf: str) -> DataFrame:
-    out = stats.spread_profile(readings(spark, sf), "stem", "cls", "t_p99")
+def phase_spread(spark: SparkSession, sf: str, need: Sequence[str] = _NEED) -> DataFrame:
+    out = stats.spread_profile(readings(spark, sf, need), "stem", "cls", "t_p99")
     return out.select("cls", "n", "over_5", "over_15", *[F.round(c, 6).alias(c) for c in ("med", "p90", "p99", "most")])
 
 
@@ -171,8 +180,8 @@ def linear_fit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"with {_READ}, s as (select cls, stddev_pop(t_p99) s, count(*) n from d group by cls having count(*) >= 20) select count(*) classes, round(avg(s), 6) macro_std from s")
-def macro_spread(spark: SparkSession, sf: str) -> DataFrame:
-    s = readings(spark, sf).groupBy("cls").agg(F.stddev_pop("t_p99").alias("s"), F.count("*").alias("n")).where("n >= 20")
+def macro_spread(spark: SparkSession, sf: str, need: Sequence[str] = _NEED) -> DataFrame:
+    s = readings(spark, sf, need).groupBy("cls").agg(F.stddev_pop("t_p99").alias("s"), F.count("*").alias("n")).where("n >= 20")
     return s.agg(F.count("*").alias("classes"), F.round(F.avg("s"), 6).alias("macro_std"))
 
 
@@ -224,8 +233,8 @@ def best_run(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""with {_READ}, r as (select stem, list_sort(list_distinct(list(case when conf < 0.5 then 'low confidence' end) || list(case when cls in (21, 22) then 'alike classes' end))) x, count(*) n, max(conf) c, list_sort(list_distinct(list(cls::varchar))) k from d group by stem)
 select stem, n, c as max_conf, array_to_string(k, ',') as classes, array_to_string(x, ' / ') as reasons from r""")
-def review_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    d = readings(spark, sf)
+def review_reasons(spark: SparkSession, sf: str, need: Sequence[str] = _NEED) -> DataFrame:
+    d = readings(spark, sf, need)
     reasons = F.array_compact(F.array(F.when(F.col("conf") < 0.5, "low confidence"), F.when(F.col("cls").isin(21, 22), "alike classes")))
     r = d.groupBy("stem").agg(F.count("*").alias("n"), F.coalesce(F.max("conf"), F.lit(0.0)).alias("max_conf"), F.array_join(F.array_sort(F.collect_set(F.col("cls").cast("string"))), ",").alias("classes"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(reasons)))), " / ").alias("reasons"))
     return r
@@ -233,6 +242,13 @@ def review_reasons(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def json_reports(spark: SparkSession, sf: str) -> DataFrame:
-    """One JSON object a frame with its detections nested, in order."""
-    d = readings(spark, sf).groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("det_id", "cls", "conf", "t_p99", "t_max"))).alias("dets"))
-    return d.select("stem", F.to_json(F.struct("stem", F.size("dets").alias("n_det"), "dets")).alias("report"))
+    """One JSON object a frame with all its detections nested, in order; a temperature that is no number is null."""
+    d = readings(spark, sf, ()).groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("det_id", "cls", "conf", "t_p99", "t_max"))).alias("dets"))
+    return d.select("stem", F.to_json(F.struct("stem", F.size("dets").alias("n_det"), "dets"), {"ignoreNullFields": "false"}).alias("report"))
+
+
+# The SQL of these asks for t_max and dt_amb though they don't read them, or only where ambient judges; it stays as it is,
+# and the whole forms stand beside them.
+for _query in (component_judgement, detection_verdicts, class_profile, phase_spread, macro_spread):
+    query.queries[f"{_query.__name__}_whole"] = partial(_query, need=("t_p99",))
+query.queries["review_reasons_whole"] = partial(review_reasons, need=())

@@ -1,5 +1,7 @@
 """Rows that were once lost: copies, detections with a value missing, folds beyond a bound."""
 
+import json
+
 import __spark_entry__ as entry
 from calorgrid.operators import similarity
 
@@ -14,3 +16,36 @@ def test_copies_keep_their_class(spark, tmp_path):
     assert [(r["id_a"], r["id_b"]) for r in got if r["kind"] == "near"] == [(1, 4)]
     codes = spark.createDataFrame([(3, "x"), (2, "x"), (5, "y"), (7, None)], "id int, c string")
     assert sorted(tuple(r) for r in similarity.members(codes, "id", "c").collect()) == [(2, 2, 2), (3, 2, 2), (5, 5, 1)]
+
+
+NONE = float("nan")
+
+
+def detections(spark, folder):
+    """Class 1 is judged by its peers, 0 by its value, 2 by ambient, 4 by ambient for want of peers; all have readings, the other temperatures often not."""
+    rows = [(1, "s", 1, 0.9, 70.0, NONE, 5.0), (2, "s", 1, 0.4, 20.0, 25.0, 5.0), (3, "t", 0, 0.9, 90.0, 91.0, None), (4, "t", 4, 0.9, 90.0, 91.0, NONE), (5, "u", 2, 0.9, 50.0, float("inf"), 45.0), (6, "v", 4, 0.9, None, 50.0, 45.0)]
+    rows += [(10 + i, f"w{i // 2}", 7, 0.9, 30.0 + i, [40.0, NONE][i % 2], 1.0) for i in range(20)]
+    d = spark.createDataFrame(rows, "det_id long, stem string, cls int, conf double, t_p99 double, t_max double, dt_amb double")
+    d.selectExpr("*", "500 as n_px", "timestamp '2024-01-01' as captured_at").write.parquet(f"{folder}/frame_dets.parquet")
+    spark.createDataFrame([(i, s) for i, s in enumerate("stuv")], "frame_id long, stem string").write.parquet(f"{folder}/frame_report.parquet")
+
+
+def test_a_missing_value_costs_only_what_reads_it(spark, tmp_path):
+    detections(spark, tmp_path)
+    run = lambda name: entry.queries()[name](spark, str(tmp_path)).collect()
+    got = {r["det_id"]: (r["verdict"], r["basis"]) for r in run("detection_verdicts_whole")}
+    assert {k: got.get(k) for k in range(1, 7)} == {1: ("abnormal", "peer"), 2: ("normal", "peer"), 3: ("abnormal", "value"), 4: (None, "ambient, no peer"), 5: ("abnormal", "ambient"), 6: None}
+    frames = {r["stem"]: (r["n_det"], r["verdict"]) for r in run("component_judgement_whole")}
+    assert frames == {"s": (2, "abnormal"), "t": (2, "abnormal"), "u": (1, "abnormal"), "v": (0, "none")}
+    assert {(r["cls"], r["n"]) for r in run("class_profile_whole")} == {(7, 20)}
+    assert {(r["cls"], r["n"]) for r in run("phase_spread_whole")} == {(1, 1), (7, 10)}
+    assert [r["classes"] for r in run("macro_spread_whole")] == [1]
+    assert {r["stem"]: r["n"] for r in run("review_reasons_whole")} == {"s": 2, "t": 2, "u": 1, "v": 1} | {f"w{i}": 2 for i in range(10)}
+
+
+def test_reports_hold_every_detection(spark, tmp_path):
+    detections(spark, tmp_path)
+    got = {r["stem"]: json.loads(r["report"]) for r in entry.queries()["json_reports"](spark, str(tmp_path)).collect()}
+    assert sum(x["n_det"] for x in got.values()) == 26
+    assert got["s"]["dets"][0] == {"det_id": 1, "cls": 1, "conf": 0.9, "t_p99": 70.0, "t_max": None}
+    assert got["v"]["dets"][0]["t_p99"] is None
