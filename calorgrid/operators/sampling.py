@@ -27,27 +27,46 @@ def all_rare_and_some_common(rows: DataFrame, rare: Column, key: str, k: int, se
     return rows.where(rare).unionByName(some)
 
 
-def cross_review(rows: DataFrame, owner: str, key: str, following: dict[str, str], share: float = 0.1, seed: int = 0) -> DataFrame:
-    """``rows`` as ``own``, and max(1, round half to even of share) of each owner's again, as ``cross``, for the next owner."""
+def following_owners(rows: DataFrame, owner: str) -> DataFrame:
+    """``owner, next``: each owner with the next in order, the last with the first; one row an owner."""
+    owners = rows.where(F.col(owner).isNotNull()).select(owner).distinct()
+    every = Window.partitionBy(F.lit("all"))
+    return owners.select(owner, F.coalesce(F.lead(owner).over(every.orderBy(owner)), F.min(owner).over(every)).alias("next"))
+
+
+def cross_review(rows: DataFrame, owner: str, key: str, following: dict[str, str] | DataFrame, share: float = 0.1, seed: int = 0) -> DataFrame:
+    """``rows`` as ``own``, and max(1, round half to even of share) of each owner's again, as ``cross``, for the next owner.
+    ``following`` tells it: a short dictionary, or a table ``owner, next`` of any size."""
     ranked = numbered(rows.withColumn("_h", shuffled(key, seed=seed)), [owner], [F.col("_h"), F.col(key)], "_i").drop("_h").alias("r")
     sizes = rows.groupBy(owner).agg(F.count("*").alias("_n")).alias("s")
     picked = ranked.join(sizes, F.col(f"r.{owner}").eqNullSafe(F.col(f"s.{owner}"))).where(F.col("_i") < F.greatest(F.lit(1.0), F.rint(F.col("_n") * share)))
     cross = picked.select(*[F.col(f"r.{c}") for c in rows.columns])
-    to = F.create_map(*[F.lit(x) for kv in following.items() for x in kv])
-    return rows.withColumn("role", F.lit("own")).unionByName(cross.withColumn(owner, F.try_element_at(to, F.col(owner))).withColumn("role", F.lit("cross")))
+    if isinstance(following, DataFrame):
+        cross = cross.join(following.select(owner, F.col("next").alias("_next")), owner, "left").withColumn(owner, F.col("_next")).drop("_next")
+    else:
+        to = F.create_map(*[F.lit(x) for kv in following.items() for x in kv])
+        cross = cross.withColumn(owner, F.try_element_at(to, F.col(owner)))
+    return rows.withColumn("role", F.lit("own")).unionByName(cross.withColumn("role", F.lit("cross")))
 
 
-def leave_one_out(rows: DataFrame, session: str, sessions: Sequence[str]) -> DataFrame:
-    """Each row once for each fold, in ``val`` where its session is held out; the folds are a short list."""
-    return rows.withColumn("fold", F.explode(F.array(*[F.lit(s) for s in sessions]))).withColumn("split", F.when(F.col(session) == F.col("fold"), "val").otherwise("train"))
+def leave_one_out(rows: DataFrame, session: str, sessions: Sequence[str] | DataFrame) -> DataFrame:
+    """Each row once for each fold, in ``val`` where its session is held out; the folds are a short list, or a table ``fold``
+    (broadcast, as its rows times those of ``rows`` come out)."""
+    if isinstance(sessions, DataFrame):
+        each = rows.crossJoin(F.broadcast(sessions.select("fold")))
+    else:
+        each = rows.withColumn("fold", F.explode(F.array(*[F.lit(s) for s in sessions])))
+    return each.withColumn("split", F.when(F.col(session) == F.col("fold"), "val").otherwise("train"))
 
 
 def balanced_sessions(rows: DataFrame, session: str, cls: str, ratio: float = 0.2, most_sessions: int = 10_000) -> list[str]:
     """Sessions for validation: greedily the one that brings class shares and size nearest to ``ratio``, until it is reached.
 
-    Works on the session x class counts, which the number of sessions bounds; more than ``most_sessions`` is an error.
-    One session only gives none: split by rows then."""
+    Works on the session x class counts, of which ``most_sessions`` x 64 may be; more of them, or more than
+    ``most_sessions``, is an error. One session only gives none: split by rows then."""
     table = rows.groupBy(session, cls).count().limit(most_sessions * 64 + 1).collect()
+    if len(table) > most_sessions * 64:
+        raise ValueError("too many counts of sessions and classes")
     counts: dict[str, dict] = {}
     for s, c, n in table:
         counts.setdefault(s, {})[c] = n

@@ -112,14 +112,13 @@ s as (select distinct owner from r), m as (select owner, coalesce(lead(owner) ov
 select owner, doc_id, 'own' as role from r union all select nxt, doc_id, 'cross' from r join m using (owner) where k <= greatest(1, round_even(n * 0.1, 0))""")
 def cross_review(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").where("source is not null").select(F.col("source").alias("owner"), "doc_id")
-    owners = sorted(r[0] for r in d.select("owner").distinct().limit(1000).collect())  # the team
-    return sampling.cross_review(d, "owner", "doc_id", dict(zip(owners, owners[1:] + owners[:1], strict=True)))
+    return sampling.cross_review(d, "owner", "doc_id", sampling.following_owners(d, "owner"))
 
 
 @query("with s as (select doc_id, lang, source from documents where source is not null), f as (select distinct source fold from s) select doc_id, fold, case when source = fold then 'val' else 'train' end split from s, f")
 def leave_one_out(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").where("source is not null").select("doc_id", "source")
-    folds = sorted(r[0] for r in d.select("source").distinct().limit(1000).collect())
+    folds = d.select(F.col("source").alias("fold")).distinct()
     return sampling.leave_one_out(d, "source", folds).select("doc_id", "fold", "split")
 
 

@@ -2,8 +2,11 @@
 
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
-from calorgrid.operators import similarity
+from calorgrid.operators import sampling, similarity
 
 
 def test_copies_keep_their_class(spark, tmp_path):
@@ -49,3 +52,20 @@ def test_reports_hold_every_detection(spark, tmp_path):
     assert sum(x["n_det"] for x in got.values()) == 26
     assert got["s"]["dets"][0] == {"det_id": 1, "cls": 1, "conf": 0.9, "t_p99": 70.0, "t_max": None}
     assert got["v"]["dets"][0]["t_p99"] is None
+
+
+def test_more_than_a_thousand_sources(spark, tmp_path):
+    d = spark.range(1100).select(F.col("id").alias("doc_id"), F.format_string("s%04d", "id").alias("source"), F.lit("en").alias("lang"), F.lit("x").alias("text"))
+    d.unionByName(d.limit(1).withColumn("source", F.lit(None).cast("string"))).write.parquet(str(tmp_path / "documents.parquet"))
+    run = lambda name: entry.queries()[name](spark, str(tmp_path))
+    folds = run("leave_one_out").groupBy("fold").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "val").alias("val")).collect()
+    assert len(folds) == 1100 and {(r["n"], r["val"]) for r in folds} == {(1100, 1)}
+    cross = {r["doc_id"]: r["owner"] for r in run("cross_review").where("role = 'cross'").collect()}
+    assert cross == {i: f"s{(i + 1) % 1100:04d}" for i in range(1100)}
+
+
+def test_too_many_counts_are_told(spark):
+    rows = spark.range(200).select(F.format_string("s%d", F.col("id") % 2).alias("s"), F.col("id").alias("c"))
+    assert len(sampling.balanced_sessions(rows, "s", "c", most_sessions=4)) == 1
+    with pytest.raises(ValueError, match="counts"):
+        sampling.balanced_sessions(rows, "s", "c", most_sessions=3)
