@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calorgrid.functions import geometry as g
+from calorgrid.functions.keys import panel_key
 from calorgrid.operators import match, sampling
 from calorgrid.operators.rowparse import parse_lines
 from calorgrid.plans.registry import Registry
@@ -186,8 +190,15 @@ def jitter_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("with p as (select d.cls, trim(x) panel from (select cls, unnest(string_split(panels, ',')) x from class_dim) d) select det_id, count(p.cls) > 0 as allowed from frame_dets f left join p on f.cls = p.cls and f.panel = p.panel group by det_id")
-def class_whitelist(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether a detection's class belongs to the cabinet's panel, by the bridge table of classes and panels."""
-    p = table(spark, sf, "class_dim").select(F.col("cls").alias("c"), F.explode(F.split("panels", ",")).alias("p")).select("c", F.trim("p").alias("p")).distinct()
+def class_whitelist(spark: SparkSession, sf: str, named: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Whether a detection's class belongs to the cabinet's panel, by the bridge table of classes and panels.
+
+    Panels are compared as written, as in the SQL, or both sides by ``named``."""
+    p = table(spark, sf, "class_dim").select(F.col("cls").alias("c"), F.explode(F.split("panels", ",")).alias("p")).select("c", F.trim("p").alias("p"))
     f = table(spark, sf, "frame_dets").select("det_id", "cls", "panel")
-    return f.join(p, (F.col("cls") == F.col("c")) & (F.col("panel") == F.col("p")), "left").select("det_id", F.col("c").isNotNull().alias("allowed"))
+    if named:
+        p, f = p.withColumn("p", named(F.col("p"))), f.withColumn("panel", named(F.col("panel")))
+    return f.join(p.distinct(), (F.col("cls") == F.col("c")) & (F.col("panel") == F.col("p")), "left").select("det_id", F.col("c").isNotNull().alias("allowed"))
+
+
+query.queries["class_whitelist_whole"] = partial(class_whitelist, named=panel_key)

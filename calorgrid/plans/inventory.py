@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calorgrid.functions.keys import panel_key
 from calorgrid.functions.numeric import celsius_of_centikelvin, nearest, planck_celsius, standardised
 from calorgrid.operators import raster, sampling, similarity, windows
 from calorgrid.plans.registry import Registry
@@ -124,7 +125,8 @@ def leave_one_out(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def balanced_split(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "frame_dets").select("det_id", "cls", "panel").withColumn("panel", F.coalesce("panel", F.lit("?")))
+    """A panel is one session however it is written; what names none stays as it is."""
+    d = table(spark, sf, "frame_dets").select("det_id", "cls", F.coalesce(panel_key(F.col("panel")), "panel", F.lit("?")).alias("panel"))
     held = sampling.balanced_sessions(d, "panel", "cls")
     return d.withColumn("split", F.when(F.col("panel").isin(held), "val").otherwise("train")).groupBy("split", "cls").agg(F.count("*").alias("n"))
 

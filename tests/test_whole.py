@@ -69,3 +69,13 @@ def test_too_many_counts_are_told(spark):
     assert len(sampling.balanced_sessions(rows, "s", "c", most_sessions=4)) == 1
     with pytest.raises(ValueError, match="counts"):
         sampling.balanced_sessions(rows, "s", "c", most_sessions=3)
+
+
+def test_a_panel_is_one_however_written(spark, tmp_path):
+    rows = [(i, 1 + i % 2, ["P1", "p-01", "P1-2", "Ｐ1"][i // 2 % 4]) for i in range(40)] + [(40 + i, 1 + i % 2, "P2") for i in range(13)]
+    spark.createDataFrame(rows, "det_id long, cls int, panel string").write.parquet(str(tmp_path / "frame_dets.parquet"))
+    spark.createDataFrame([(1, "P1, P3"), (2, "P2")], "cls int, panels string").write.parquet(str(tmp_path / "class_dim.parquet"))
+    run = lambda name: entry.queries()[name](spark, str(tmp_path)).collect()
+    assert sum(r["n"] for r in run("balanced_split") if r["split"] == "val") == 13  # P2, no part of P1
+    allowed = {r["det_id"] for r in run("class_whitelist_whole") if r["allowed"]}
+    assert allowed == {i for i, cls, _ in rows if (cls == 1) == (i < 40)}
