@@ -14,19 +14,20 @@ from calorgrid.operators.components import connected_components
 from calorgrid.session import checkpointed
 
 
-def cabinet_groups(frames: DataFrame, moves: DataFrame) -> DataFrame:
-    """``frame_id, group_key`` of each frame whose stem names site and building.
+def cabinet_groups(frames: DataFrame, moves: DataFrame, columns: Sequence[str] = ("frame_id",), others: bool = False) -> DataFrame:
+    """``columns`` and ``group_key`` of each frame whose stem names site and building; with ``others``, of any frame, the key
+    being null where it doesn't. The key is made on the row itself: repeated rows come out as often as they are there.
 
     Cabinets linked by ``moves`` (old_key, new_key; repeated, circular and null rows allowed) are one group, named by
-    its first cabinet key. Other frames (null stem, no stem at all) give no row; a frame whose panel is told nowhere
+    its first cabinet key. Other frames (null stem, no stem at all) give no row unless asked for; a frame whose panel is told nowhere
     keeps ``site_building``. No moves: every cabinet is its own group."""
     old, new = (stem_struct(F.concat(F.col(c), F.lit("_")), F.lit(None).cast("string"))["cabinet"] for c in ("old_key", "new_key"))
     links = moves.select(F.coalesce(old, F.col("old_key")).alias("a"), F.coalesce(new, F.col("new_key")).alias("b"))
     groups = connected_components(links, "a", "b").withColumnRenamed("node", "cabinet")
-    # a generator drops frames without a cabinet; a filter would parse every stem twice
+    # a generator that isn't outer drops frames without a cabinet; a filter would parse every stem twice
     named = let(stem_struct(F.col("stem"), F.col("panel")), lambda k: F.when(k.isNotNull(), F.array(F.struct(k["cabinet"].alias("cabinet")))))
-    keyed = frames.select("frame_id", F.inline(named))
-    return keyed.join(groups, "cabinet", "left").select("frame_id", F.coalesce("component", "cabinet").alias("group_key"))
+    keyed = frames.select(*columns, F.inline_outer(named) if others else F.inline(named))
+    return keyed.join(groups, "cabinet", "left").select(*columns, F.coalesce("component", "cabinet").alias("group_key"))
 
 
 def place(labels: np.ndarray, need: np.ndarray) -> np.ndarray:
@@ -105,14 +106,10 @@ def grouped_splits(
 
 
 def frame_splits(frames: DataFrame, moves: DataFrame, proportions: dict[str, float], labels: Sequence[str]) -> DataFrame:
-    """``frame_id, group_key, split`` for every frame; label is the verdict.
-
-    A frame without a cabinet is grouped by its stem as it is, one without a stem stands alone."""
-    own = F.coalesce(F.concat(F.lit("stem:"), F.col("stem")), F.concat(F.lit("frame:"), F.col("frame_id").cast("string")))
-    keyed = checkpointed(
-        frames.select("frame_id", "stem", "verdict")
-        .join(cabinet_groups(frames, moves), "frame_id", "left")
-        .select("frame_id", "verdict", F.coalesce("group_key", own).alias("group_key"))
-    )
+    """``frame_id, group_key, split`` for every row of ``frames``; label is the verdict.
+
+    A frame without a cabinet is grouped by its stem as it is, one without a stem by its id; those with neither are one group."""
+    own = F.coalesce(F.concat(F.lit("stem:"), F.col("stem")), F.concat(F.lit("frame:"), F.col("frame_id").cast("string")), F.lit("frame:"))
+    keyed = checkpointed(cabinet_groups(frames, moves, ("frame_id", "stem", "verdict"), others=True).select("frame_id", "verdict", F.coalesce("group_key", own).alias("group_key")))
     splits = grouped_splits(keyed, "group_key", F.col("verdict"), labels, proportions)
     return keyed.join(splits, "group_key").select("frame_id", "group_key", "split")
