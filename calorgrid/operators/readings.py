@@ -11,46 +11,85 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calorgrid.operators.exact import exact_medians
-from calorgrid.session import checkpointed
+from calorgrid.session import by_range, checkpointed
 
-_LEVELS = 4
+_LEVELS = 3
+#: the limit is dealt out over the details, the approximation, and where the median lies
+_PARTS = 4
 _EPS = 1e-9
+#: readings of one spot that a task holds at once; a longer stretch is cut and sewn like one that crosses partitions
+HELD = 65_536
 _COLUMNS = ("t_max", "t_p99")
-_STAGE = "det_id long, kind string, spot_id long, at long, t_max double, t_p99 double, part int"
+_STAGE = "det_id long, kind string, spot_id long, at long, t_max double, t_p99 double, part long"
 
 
 def haar_details(x: np.ndarray, levels: int = _LEVELS) -> tuple[np.ndarray, np.ndarray]:
-    """Undecimated Haar decomposition: details (levels x n) and the last approximation; together they add up to ``x``."""
+    """Undecimated Haar decomposition: details (levels x n) and the last approximation; together they add up to ``x``.
+
+    A detail is half the difference of two approximations, so a finest detail is zero where, and only where, two
+    successive values are equal."""
     details, a = [], x
     back = np.arange(len(x))
     for j in range(levels):
-        b = (a + a[np.maximum(back - (1 << j), 0)]) / 2
-        details.append(a - b)
-        a = b
+        b = a[np.maximum(back - (1 << j), 0)]
+        details.append((a - b) / 2)
+        a = (a + b) / 2
     return np.array(details), a
 
 
-def spikes(x: np.ndarray, middle: float, spread: float, least: float, times: float) -> np.ndarray:
-    """Mask of the values of one source, in time order, that lie at least ``least`` and ``times * spread`` off its middle.
+def candidates(x: np.ndarray, limit: float, middle: float | None = None) -> np.ndarray:
+    """Mask of the values of one source, in time order, that may lie ``limit`` or more off its median.
 
-    The threshold is shared out over the parts of the decomposition: a value that far off has a detail, or an
-    approximation off the middle, of a (levels + 1)th of it at least. Those are the candidates; they are then checked."""
-    limit = max(least, times * spread)
+    Each level's details are scaled robustly (by the median of their size) and held against one threshold for all
+    levels: the half of ``limit``, dealt out over the levels by their scale. A value none of whose details reaches it is
+    quiet, and lies within that half of its approximation. Where the median lies follows from the approximations: if k
+    values aren't quiet, it is between the approximations k ranks below and above their middle, give or take that
+    half. So a median need not be known to tell what may be off it; no value that is can be missed."""
+    n = len(x)
     details, rest = haar_details(x)
-    share = limit / (_LEVELS + 1) * (1 - 1e-9) - _EPS
-    candidate = (np.abs(details).max(axis=0) >= share) | (np.abs(rest - middle) >= share)
-    off = np.abs(x - middle)
-    return candidate & (off >= least - _EPS) & (off >= times * spread - _EPS)
+    size = np.abs(details)
+    scale = np.median(size, axis=1) + _EPS
+    half = limit / _PARTS
+    quiet = (size < (half * scale / scale.sum())[:, None]).all(axis=0)
+    if middle is None:
+        k, order = n - int(quiet.sum()), np.sort(rest)
+        low, high = (n - 1) // 2 - k, n // 2 + k
+        lo = order[low] - half if low >= 0 else -np.inf
+        hi = order[high] + half if high < n else np.inf
+    else:
+        lo = hi = middle
+    return ~(quiet & (rest + half - lo < limit) & (hi - rest + half < limit))
+
+
+def middle_and_spread(x: np.ndarray) -> tuple[float, float]:
+    """Median, and median distance from it."""
+    middle = float(np.median(x))
+    return middle, float(np.median(np.abs(x - middle)))
+
+
+def spikes(x: np.ndarray, known: tuple[float, float] | None, least: float, times: float) -> np.ndarray:
+    """Mask of the values of one source, in time order, that lie at least ``least`` and ``times`` its spread off its middle.
+
+    The decomposition names the candidates; only they are measured, and a source that has none needs no exact medians
+    (``known``, if they are there already)."""
+    out = np.zeros(len(x), dtype=bool)
+    if known is None:
+        at = np.flatnonzero(candidates(x, least - 2 * _EPS))
+        if not len(at):
+            return out
+        known = middle_and_spread(x)
+    else:
+        at = np.flatnonzero(candidates(x, max(least, times * known[1]) - 2 * _EPS, known[0]))
+    off = np.abs(x[at] - known[0])
+    out[at] = (off >= least - _EPS) & (off >= times * known[1] - _EPS)
+    return out
 
 
 def runs_without_detail(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of the run of equal successive values each value is in, and each run's length: finest details of zero."""
     if not len(x):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    detail = haar_details(x, 1)[0][0]
-    new = (detail != 0) | (x != np.concatenate([x[:1], x[:-1]]))
-    new[0] = False
-    run = np.cumsum(new)
+    run = np.cumsum(haar_details(x, 1)[0][0] != 0)
     return run, np.bincount(run)
 
 
@@ -69,18 +108,13 @@ def _found(pdf: pd.DataFrame, mask: np.ndarray, kind: str, part: int) -> pd.Data
 
 
 def _spike_mask(columns: list[np.ndarray], stats: list[tuple[float, float]] | None, least: float, times: float) -> np.ndarray:
-    """Spikes of one source by any of its columns (NaN where there is no reading); middle and spread are found if not given."""
+    """Spikes of one source by any of its columns (NaN where there is no reading); middles and spreads may be known."""
     mask = np.zeros(len(columns[0]), dtype=bool)
     for k, v in enumerate(columns):
         there = ~np.isnan(v)
         x = v[there]
         if len(x):
-            if stats is None:
-                middle = float(np.median(x))
-                spread = float(np.median(np.abs(x - middle)))
-            else:
-                middle, spread = stats[k]
-            mask[there] |= spikes(x, middle, spread, least, times)
+            mask[there] |= spikes(x, None if stats is None else stats[k], least, times)
     return mask
 
 
@@ -93,51 +127,61 @@ def _stuck_mask(v: np.ndarray, least: int) -> np.ndarray:
     return mask
 
 
-def faulty_readings(dets: DataFrame, least: float = 8.0, times: float = 12.0, stuck_run: int = 6) -> DataFrame:
+def faulty_readings(dets: DataFrame, least: float = 8.0, times: float = 12.0, stuck_run: int = 6, held: int = HELD) -> DataFrame:
     """``det_id, kind``: one row per faulty detection and kind (``impossible``, ``spike``, ``stuck``).
 
     Readings are range-partitioned by (spot, time, id), so a spot of any size is spread over tasks. A spot that lies
-    inside one partition is decided there. The first and last spot of each partition may go on in the next one: their
-    medians are found by ``exact_medians`` and their runs are sewn together at the seams (two runs a partition).
+    inside one partition is decided there. The first and last spot of each partition may go on in the next one, and a
+    task holds at most ``held`` readings of a spot: such stretches are cut, the medians of their spots found by
+    ``exact_medians``, and their runs sewn together at the seams (two runs a stretch).
     Null readings prove nothing and are passed over, a null spot has no normal behaviour and can only be impossible, a
     null time comes last, equal times go by id; repeated detections each count; no rows give no rows."""
     marked = dets.select(F.col("det_id").cast("long"), F.col("spot_id").cast("long"), F.unix_micros(F.col("captured_at").cast("timestamp")).alias("at"), *[F.col(c).cast("double") for c in _COLUMNS], "over_range").withColumn("bad", impossible())
     first = marked.where("bad").select("det_id", F.lit("impossible").alias("kind"))
     order = [F.asc("spot_id"), F.asc_nulls_last("at"), F.asc("det_id")]
     usable = marked.where("not bad and spot_id is not null and (t_max is not null or t_p99 is not null)").select("spot_id", "at", "det_id", *_COLUMNS)
-    spread = usable.repartitionByRange(*order).sortWithinPartitions(*order)
+    spread = by_range(usable, order).sortWithinPartitions(*order)
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = TaskContext.get().partitionId()
-        held, begun = None, False
+        part = TaskContext.get().partitionId() << 24
+        open_rows, open_spot, is_edge = None, None, True  # the spot that isn't over yet; the first one is an edge
+
+        def edge(rows: pd.DataFrame) -> pd.DataFrame:
+            nonlocal part
+            part += 1
+            return _found(rows, np.ones(len(rows), dtype=bool), "edge", part)
+
         for pdf in batches:
-            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            spot = held["spot_id"].to_numpy()
-            cuts = np.flatnonzero(spot[1:] != spot[:-1]) + 1
-            if len(held) and not begun and len(cuts):
-                yield _found(held.iloc[: cuts[0]], np.ones(cuts[0], dtype=bool), "edge", part)
-                begun = True
-                done = cuts
-            elif begun:
-                done = np.concatenate([[0], cuts]).astype(int)
-            else:
+            if not len(pdf):
                 continue
-            columns = [held[c].to_numpy(dtype=float) for c in _COLUMNS]
-            spike, stuck = np.zeros(len(held), dtype=bool), np.zeros(len(held), dtype=bool)
-            for a, b in zip(done[:-1], done[1:], strict=True):
+            rows = pdf if open_rows is None else pd.concat([open_rows, pdf], ignore_index=True)
+            spot = rows["spot_id"].to_numpy()
+            if open_spot is not None and spot[0] != open_spot:
+                is_edge = False  # the open spot was given out to its last row
+            cuts = np.concatenate([[0], np.flatnonzero(spot[1:] != spot[:-1]) + 1]).astype(int)
+            columns = [rows[c].to_numpy(dtype=float) for c in _COLUMNS]
+            spike, stuck = np.zeros(len(rows), dtype=bool), np.zeros(len(rows), dtype=bool)
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if is_edge:
+                    yield edge(rows.iloc[a:b])
+                    is_edge = False
+                    continue
                 spike[a:b] = _spike_mask([v[a:b] for v in columns], None, least, times)
                 stuck[a:b] = _stuck_mask(columns[0][a:b], stuck_run)
-            yield _found(held, spike, "spike", part)
-            yield _found(held, stuck, "stuck", part)
-            held = held.iloc[done[-1] :].reset_index(drop=True)
-        if held is not None and len(held):
-            yield _found(held, np.ones(len(held), dtype=bool), "edge", part)
+            yield _found(rows, spike, "spike", part)
+            yield _found(rows, stuck, "stuck", part)
+            open_rows, open_spot = rows.iloc[cuts[-1] :].reset_index(drop=True), spot[-1]
+            if len(open_rows) >= held:
+                yield edge(open_rows)
+                open_rows, is_edge = None, True
+        if open_rows is not None and len(open_rows):
+            yield edge(open_rows)
 
     stage = checkpointed(spread.mapInPandas(local, _STAGE))
     edge = stage.where("kind = 'edge'")
     long = edge.select("spot_id", F.inline(F.array(*[F.struct(F.lit(k).alias("c"), F.col(c).alias("v")) for k, c in enumerate(_COLUMNS)])))
     middle = checkpointed(exact_medians(long, ["spot_id", "c"], "v").select("spot_id", "c", F.col("median").alias("middle")))
-    # at most two spots a partition, so the tables of spots may be broadcast
+    # at most two spots a partition, and those of ``held`` readings or more, so the tables of spots may be broadcast
     off = long.join(F.broadcast(middle), ["spot_id", "c"]).select("spot_id", "c", F.abs(F.col("v") - F.col("middle")).alias("v"))
     spreads = exact_medians(off, ["spot_id", "c"], "v").select("spot_id", "c", F.col("median").alias("spread"))
     stats = middle.join(spreads, ["spot_id", "c"]).groupBy("spot_id").agg(
@@ -145,16 +189,16 @@ def faulty_readings(dets: DataFrame, least: float = 8.0, times: float = 12.0, st
     )
 
     def seams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        left = None
         for pdf in batches:
-            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            ids = held[["part", "spot_id"]].to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1]).astype(int)
+            left = pdf if left is None else pd.concat([left, pdf], ignore_index=True)
+            ids = left["part"].to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1]).astype(int)
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                yield from segment(held.iloc[a:b])
-            held = held.iloc[cuts[-1] :].reset_index(drop=True)
-        if held is not None and len(held):
-            yield from segment(held)
+                yield from segment(left.iloc[a:b])
+            left = left.iloc[cuts[-1] :].reset_index(drop=True)
+        if left is not None and len(left):
+            yield from segment(left)
 
     def segment(one: pd.DataFrame) -> Iterator[pd.DataFrame]:
         part = int(one["part"].iloc[0])

@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _shipped: dict[str, str] = {}
 
@@ -32,11 +32,14 @@ def local_session(name: str = "calorgrid", cores: str = "*", partitions: int = 8
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a folder of its own."""
+    Only a local session that names none (a test) gets a folder of its own; elsewhere the executors couldn't read it."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="calorgrid-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="calorgrid-"))
     return df.checkpoint(eager=True)
 
 
@@ -45,6 +48,15 @@ def parallelism(df: DataFrame, least: int = 1) -> int:
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def by_range(df: DataFrame, order: list[Column], bytes_each: int = 128 << 20) -> DataFrame:
+    """``df`` range-partitioned by ``order``: into the session's shuffle partitions, or more where the optimizer's estimate
+    of its size asks for them."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    parts = size // bytes_each
+    known = parallelism(df) < parts < 1 << 20  # an estimate beyond that isn't one
+    return df.repartitionByRange(int(parts), *order) if known else df.repartitionByRange(*order)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once for each Spark application.
 
