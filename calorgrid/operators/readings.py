@@ -37,7 +37,7 @@ def haar_details(x: np.ndarray, levels: int = _LEVELS) -> tuple[np.ndarray, np.n
     return np.array(details), a
 
 
-def candidates(x: np.ndarray, limit: float, middle: float | None = None) -> np.ndarray:
+def candidates(x: np.ndarray, limit: float, middle: float | None = None, parts: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Mask of the values of one source, in time order, that may lie ``limit`` or more off its median.
 
     Each level's details are scaled robustly (by the median of their size) and held against one threshold for all
@@ -46,7 +46,7 @@ def candidates(x: np.ndarray, limit: float, middle: float | None = None) -> np.n
     values aren't quiet, it is between the approximations k ranks below and above their middle, give or take that
     half. So a median need not be known to tell what may be off it; no value that is can be missed."""
     n = len(x)
-    details, rest = haar_details(x)
+    details, rest = parts or haar_details(x)
     size = np.abs(details)
     scale = np.median(size, axis=1) + _EPS
     half = limit / _PARTS
@@ -70,16 +70,15 @@ def middle_and_spread(x: np.ndarray) -> tuple[float, float]:
 def spikes(x: np.ndarray, known: tuple[float, float] | None, least: float, times: float) -> np.ndarray:
     """Mask of the values of one source, in time order, that lie at least ``least`` and ``times`` its spread off its middle.
 
-    The decomposition names the candidates; only they are measured, and a source that has none needs no exact medians
-    (``known``, if they are there already)."""
+    The decomposition names the candidates: a source that has none by ``least`` needs no exact medians (``known``, if they
+    are there already); with them, only the candidates by the source's own limit are measured."""
     out = np.zeros(len(x), dtype=bool)
+    parts = haar_details(x)
     if known is None:
-        at = np.flatnonzero(candidates(x, least - 2 * _EPS))
-        if not len(at):
+        if not candidates(x, least - 2 * _EPS, None, parts).any():
             return out
         known = middle_and_spread(x)
-    else:
-        at = np.flatnonzero(candidates(x, max(least, times * known[1]) - 2 * _EPS, known[0]))
+    at = np.flatnonzero(candidates(x, max(least, times * known[1]) - 2 * _EPS, known[0], parts))
     off = np.abs(x[at] - known[0])
     out[at] = (off >= least - _EPS) & (off >= times * known[1] - _EPS)
     return out

@@ -160,7 +160,7 @@ def label_line_counts(spark: SparkSession, sf: str) -> DataFrame:
 def label_ingest_counters(spark: SparkSession, sf: str) -> DataFrame:
     """Per file: records, loaded boxes, bad ones by reason, discouraged classes."""
     lines = table(spark, sf, "label_lines")
-    p = parse_lines(lines).join(lines.select("line_id", "file_name"), "line_id")
+    p = parse_lines(lines, repairs=False, carried=["file_name"])
     bad = [F.count_if(F.col("reason") == r).alias(r) for r in ("quoting", "columns", "value")]
     return p.groupBy("file_name").agg(F.count("*").alias("records"), F.count_if(F.col("reason").isNull()).alias("boxes"), *bad, F.count_if(F.col("cls").isin(23, 24, 25)).alias("discouraged"))
 

@@ -33,11 +33,11 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_lines(table(spark, sf, "label_lines")).select("line_id", "cls", "cx", "cy", "bw", "bh", "reason")
+    return parse_lines(table(spark, sf, "label_lines"), repairs=False).select("line_id", "cls", "cx", "cy", "bw", "bh", "reason")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_lines(table(spark, sf, "label_lines")).where("reason is not null").select("line_id", "reason")
+    return parse_lines(table(spark, sf, "label_lines"), repairs=False).where("reason is not null").select("line_id", "reason")
 
 
 def p6_edits(spark: SparkSession, sf: str) -> DataFrame:
