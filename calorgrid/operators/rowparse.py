@@ -241,8 +241,8 @@ def parse_lines(lines: DataFrame, repairs: bool = True, carried: Sequence[str] =
 
     found = F.when(plain, let(parts, lambda p: let(values(p), lambda v: F.when(good(v), v))))
     told = rows.select("line_id", *carried, F.array(F.struct(found.alias("v"), "feed", "raw")).alias("_r"))
-    # one element, so that what was found is computed once a row
-    told = told.select("line_id", *carried, F.inline("_r")).select("line_id", *carried, "v", F.col("v").isNull().alias("todo"), *[F.when(F.col("v").isNull(), F.col(c)).alias(c) for c in ("feed", "raw")])
+    # one element, so that what was found is computed once a row; not outer, it would be computed for a filter as well
+    told = told.select("line_id", *carried, F.inline_outer("_r")).select("line_id", *carried, "v", F.col("v").isNull().alias("todo"), *[F.when(F.col("v").isNull(), F.col(c)).alias(c) for c in ("feed", "raw")])
 
     @F.pandas_udf(_OUT)
     def rest(todo: pd.Series, feed: pd.Series, raw: pd.Series) -> pd.DataFrame:
@@ -251,6 +251,7 @@ def parse_lines(lines: DataFrame, repairs: bool = True, carried: Sequence[str] =
         columns = list(zip(*[v or none[0] for v, _, _ in found], strict=True)) or [()] * 5
         return pd.DataFrame({"cls": pd.array(columns[0], dtype="Int32"), **{c: pd.array(columns[i + 1], dtype="Float64") for i, c in enumerate(names)}, "reason": [r for _, r, _ in found], "edits": [e for _, _, e in found]})
 
-    out = told.select("line_id", *carried, "v", rest("todo", "feed", "raw").alias("r"))
+    # told to be non-deterministic, so that a filter on the reason doesn't call it a second time
+    out = told.select("line_id", *carried, "v", rest.asNondeterministic()("todo", "feed", "raw").alias("r"))
     edits = F.coalesce("r.edits", F.array().cast("array<string>")).alias("edits")
     return out.select("line_id", *carried, *[F.coalesce(f"v.{c}", f"r.{c}").alias(c) for c in ("cls", *names)], F.col("r.reason").alias("reason"), edits)
