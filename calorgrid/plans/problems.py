@@ -46,7 +46,7 @@ def p6_edits(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {"p2_found": p2_found, "p2_per_key": p2_per_key, "p4_found": p4_found, "p6_found": p6_found, "p6_parsed": p6_parsed, "p6_edits": p6_edits}
 
-_CENSUS = """c as (select census_id, t_p99,
+CENSUS_SQL = """c as (select census_id, t_p99,
   case when regexp_matches(upper(translate(panel, 'Ｐｐ－０１２３４５６７８９', 'PP-0123456789')), '^\\s*P[-_ ]*[0-9]+')
        then 'P' || regexp_extract(upper(translate(panel, 'Ｐｐ－０１２３４５６７８９', 'PP-0123456789')), '^\\s*P[-_ ]*0*([0-9]+)', 1) end as panel,
   coalesce((select min(cls_name) from class_dim d where regexp_replace(d.cls_name, '\\s', '', 'g') =
@@ -67,8 +67,8 @@ r as (select line_id, cls, z, case when early is not null then early when not co
   and z[3] > 0 and z[3] <= 1 and z[4] > 0 and z[4] <= 1, false) then 'value' end as reason from t)"""
 
 SQL = {
-    "p2_found": f"with {_CENSUS}, w as (select panel, cls, count(*) n from c where panel is not null and cls is not null group by all) select panel, cls from w where n >= 0.04 * (select sum(n) from w)",
-    "p2_per_key": f"""with {_CENSUS}, v as (select *, case when isfinite(t_p99) then t_p99 + 0.0 end as v from c),
+    "p2_found": f"with {CENSUS_SQL}, w as (select panel, cls, count(*) n from c where panel is not null and cls is not null group by all) select panel, cls from w where n >= 0.04 * (select sum(n) from w)",
+    "p2_per_key": f"""with {CENSUS_SQL}, v as (select *, case when isfinite(t_p99) then t_p99 + 0.0 end as v from c),
 x as (select *, row_number() over (partition by panel, cls order by v desc nulls last, census_id) as r from v)
 select panel, cls, count(*) as n, count(v) as n_value, round(avg(v), 6) as mean_value, max(v) as max_value,
   coalesce(string_agg(census_id::varchar, ',' order by r) filter (r <= 3 and v is not null), '') as worst from x group by panel, cls""",
