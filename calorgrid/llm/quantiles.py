@@ -10,27 +10,56 @@ the list is played into the counters before any answer, so the answer doesn't de
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calorgrid.session import parallelism
+from calorgrid.session import checkpointed
 
 BITS = 32
 TOP = 10
-ROWS = 5
-WIDTH_BITS = 9
-_WIDTH = 1 << WIDTH_BITS
 _LEVELS = BITS - TOP
-CELLS = (1 << TOP) + _LEVELS * ROWS * _WIDTH
-#: a list of updates of this length takes as many bytes as the counters
-MOST_UPDATES = CELLS // 2
+_MOST_ROWS = 63
+#: summaries that one task adds at most
+FAN_IN = 64
 _rng = np.random.default_rng(20240229)
-_MUL = _rng.integers(1 << 62, (1 << 63) - 1, size=(2, _LEVELS, ROWS), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, (1 << 63) - 1, size=(2, _LEVELS, ROWS), dtype=np.int64).astype(np.uint64)
+_MUL = _rng.integers(1 << 62, (1 << 63) - 1, size=(2, _LEVELS, _MOST_ROWS), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _rng.integers(0, (1 << 63) - 1, size=(2, _LEVELS, _MOST_ROWS), dtype=np.int64).astype(np.uint64)
+
+
+class Shape(NamedTuple):
+    """Counters of the levels that are sketched: rows of 2**width_bits counters each."""
+
+    rows: int
+    width_bits: int
+
+    @property
+    def cells(self) -> int:
+        return (1 << TOP) + (_LEVELS * self.rows << self.width_bits)
+
+
+def shape_for(epsilon: float, delta: float) -> Shape:
+    """Counters for a rank error of ``epsilon`` n with probability 1 - ``delta``.
+
+    By the analysis of dyadic Count-sketches, up to its constant: sqrt(levels ln(levels / delta)) / epsilon counters a row,
+    as the errors of the levels are independent and add up by their squares, and ln(levels / delta) rows (odd, for a
+    median). Summaries are added only if they are of one shape."""
+    if not 0 < epsilon < 1 or not 0 < delta < 1:
+        raise ValueError("epsilon and delta must be between 0 and 1")
+    more = np.log(_LEVELS / delta)
+    rows = int(np.ceil(more)) | 1
+    if rows > _MOST_ROWS:
+        raise ValueError("delta is too small")
+    return Shape(rows, max(4, int(np.ceil(np.log2(np.sqrt(_LEVELS * more) / epsilon)))))
+
+
+EPSILON, DELTA = 0.02, 0.05
+DEFAULT = shape_for(EPSILON, DELTA)
+#: a list of updates of this length takes as many bytes as the counters
+MOST_UPDATES = DEFAULT.cells // 2
 
 
 def encode(values: np.ndarray) -> np.ndarray:
@@ -47,35 +76,40 @@ def decode(codes: np.ndarray) -> np.ndarray:
     return raw.view(np.float64)
 
 
-def _places(nodes: np.ndarray, level: int, row: int) -> tuple[np.ndarray, np.ndarray]:
+def _places(nodes: np.ndarray, level: int, row: int, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     x = nodes.astype(np.uint64)
     with np.errstate(over="ignore"):
-        place = (x * _MUL[0, level, row] + _ADD[0, level, row]) >> np.uint64(64 - WIDTH_BITS)
+        place = (x * _MUL[0, level, row] + _ADD[0, level, row]) >> np.uint64(64 - shape.width_bits)
         sign = (x * _MUL[1, level, row] + _ADD[1, level, row]) >> np.uint64(63)
     return place.astype(np.int64), 1 - 2 * sign.astype(np.int64)
 
 
-def counters(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def counters(codes: np.ndarray, counts: np.ndarray, shape: Shape = DEFAULT) -> np.ndarray:
     """Counters of a list of updates."""
-    out = np.zeros(CELLS, dtype=np.int64)
+    out = np.zeros(shape.cells, dtype=np.int64)
     out[: 1 << TOP] = np.bincount(codes >> (BITS - TOP), weights=counts, minlength=1 << TOP).astype(np.int64)
+    at, width = 1 << TOP, 1 << shape.width_bits
     for level in range(_LEVELS):
         nodes = codes >> level
-        for row in range(ROWS):
-            place, sign = _places(nodes, level, row)
-            at = (1 << TOP) + (level * ROWS + row) * _WIDTH
-            out[at : at + _WIDTH] = np.bincount(place, weights=sign * counts, minlength=_WIDTH).astype(np.int64)
+        for row in range(shape.rows):
+            place, sign = _places(nodes, level, row, shape)
+            out[at : at + width] = np.bincount(place, weights=sign * counts, minlength=width).astype(np.int64)
+            at += width
     return out
 
 
-def pack(codes: np.ndarray, counts: np.ndarray) -> bytes:
+def _counted(cells: np.ndarray, shape: Shape) -> bytes:
+    return b"c" + bytes(shape) + cells.astype("<i8").tobytes()
+
+
+def pack(codes: np.ndarray, counts: np.ndarray, shape: Shape = DEFAULT, most_updates: int | None = None) -> bytes:
     """A summary as bytes: the list of updates while it is short, else the counters."""
     codes, where = np.unique(codes, return_inverse=True)
     counts = np.bincount(where, weights=counts, minlength=len(codes)).astype(np.int64)
     keep = counts != 0
-    if keep.sum() <= MOST_UPDATES:
+    if keep.sum() <= (MOST_UPDATES if most_updates is None else most_updates):
         return b"u" + codes[keep].astype("<u4").tobytes() + counts[keep].astype("<i8").tobytes()
-    return b"c" + counters(codes[keep], counts[keep]).astype("<i8").tobytes()
+    return _counted(counters(codes[keep], counts[keep], shape), shape)
 
 
 def _unpack(summary: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -83,27 +117,32 @@ def _unpack(summary: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(summary, "<u4", n, 1).astype(np.int64), np.frombuffer(summary, "<i8", n, 1 + 4 * n)
 
 
-def dense(summary: bytes) -> np.ndarray:
-    return np.frombuffer(summary, "<i8", CELLS, 1) if summary[:1] == b"c" else counters(*_unpack(summary))
+def dense(summary: bytes, shape: Shape = DEFAULT) -> np.ndarray:
+    """Counters of a summary."""
+    if summary[:1] == b"u":
+        return counters(*_unpack(summary), shape)
+    if Shape(*summary[1:3]) != shape:
+        raise ValueError("the summary's counters are of another shape")
+    return np.frombuffer(summary, "<i8", shape.cells, 3)
 
 
-def merge(summaries: Sequence[bytes], sign: int = 1) -> bytes:
+def merge(summaries: Sequence[bytes], sign: int = 1, shape: Shape = DEFAULT, most_updates: int | None = None) -> bytes:
     """Sum of summaries; ``sign`` -1 turns a summary into its deletion."""
     lists = [_unpack(s) for s in summaries if s[:1] == b"u"]
     codes = np.concatenate([c for c, _ in lists]) if lists else np.zeros(0, np.int64)
     counts = sign * np.concatenate([n for _, n in lists]) if lists else np.zeros(0, np.int64)
     full = [s for s in summaries if s[:1] == b"c"]
     if not full:
-        return pack(codes, counts)
-    total = counters(codes, counts)
+        return pack(codes, counts, shape, most_updates)
+    total = counters(codes, counts, shape)
     for s in full:
-        total = total + sign * np.frombuffer(s, "<i8", CELLS, 1)
-    return b"c" + total.astype("<i8").tobytes()
+        total += sign * dense(s, shape)
+    return _counted(total, shape)
 
 
-def quantiles(summary: bytes, shares: Sequence[float]) -> tuple[int, list[float | None]]:
+def quantiles(summary: bytes, shares: Sequence[float], shape: Shape = DEFAULT) -> tuple[int, list[float | None]]:
     """Number of values and, for each share q, the value of rank ceil(q n) (the first for q = 0); null without values."""
-    cells = dense(summary)
+    cells = dense(summary, shape)
     top = cells[: 1 << TOP]
     n = int(top.sum())
     if n <= 0:
@@ -118,9 +157,9 @@ def quantiles(summary: bytes, shares: Sequence[float]) -> tuple[int, list[float
         for level in range(_LEVELS - 1, -1, -1):
             node *= 2
             guess = []
-            for row in range(ROWS):
-                place, sign = _places(np.array([node]), level, row)
-                guess.append(int(sign[0]) * int(cells[(1 << TOP) + (level * ROWS + row) * _WIDTH + int(place[0])]))
+            for row in range(shape.rows):
+                place, sign = _places(np.array([node]), level, row, shape)
+                guess.append(int(sign[0]) * int(cells[(1 << TOP) + (level * shape.rows + row << shape.width_bits) + int(place[0])]))
             left = min(max(int(np.median(guess)), 0), here)
             if rank < left:
                 here = left
@@ -131,61 +170,84 @@ def quantiles(summary: bytes, shares: Sequence[float]) -> tuple[int, list[float
     return n, out
 
 
-def summarise(rows: DataFrame, keys: Sequence[str], value: str, held_rows: int = 2_000_000) -> DataFrame:
+def summarise(rows: DataFrame, keys: Sequence[str], value: str, shape: Shape = DEFAULT, most_updates: int | None = None, held_rows: int = 2_000_000) -> DataFrame:
     """``keys..., summary``, one row per key, of the finite values of ``value``.
 
     Nulls, NaN and infinities are no values; a key without values gives no row; null keys are keys. Each partition makes
-    one summary of each key, so a hot key is pre-aggregated; partial summaries are added in two steps."""
+    one summary of each key for every ``held_rows`` rows, so a hot key is pre-aggregated; the partial ones are ``merged``.
+    ``most_updates`` is the length up to which a summary stays a list (by default while that takes fewer bytes)."""
     keys = list(keys)
     kinds = dict(rows.dtypes)
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", salt int, summary binary"
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", summary binary"
     data = rows.select(*keys, F.col(value).cast("double").alias("value")).where(F.abs("value") < F.lit(float("inf")))
-    salts = max(1, int(parallelism(rows) ** 0.5))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        salt = TaskContext.get().partitionId() % salts
         held: list[pd.DataFrame] = []
         size = 0
 
-        def out() -> pd.DataFrame:
+        def out() -> Iterator[pd.DataFrame]:
             pdf = pd.concat(held, ignore_index=True)
             pdf["code"] = encode(pdf["value"].to_numpy())
-            one = [(k if isinstance(k, tuple) else (k,)) + (salt, pack(g.to_numpy(), np.ones(len(g), np.int64))) for k, g in pdf.groupby(keys, dropna=False, sort=False)["code"]]
-            made = pd.DataFrame(one, columns=[*keys, "salt", "summary"])
-            for k in keys:
-                made[k] = made[k].astype(object).where(made[k].notna(), None)
-            return made
+            one: list[tuple] = []
+
+            def frame() -> pd.DataFrame:
+                made = pd.DataFrame(one, columns=[*keys, "summary"])
+                for k in keys:
+                    made[k] = made[k].astype(object).where(made[k].notna(), None)
+                return made
+
+            for k, g in pdf.groupby(keys, dropna=False, sort=False)["code"]:
+                one.append((k if isinstance(k, tuple) else (k,)) + (pack(g.to_numpy(), np.ones(len(g), np.int64), shape, most_updates),))
+                if len(one) >= FAN_IN:  # a frame of few summaries is of bounded size
+                    yield frame()
+                    one.clear()
+            yield frame()
 
         for pdf in batches:
             held.append(pdf)
             size += len(pdf)
             if size >= held_rows:
-                yield out()
+                yield from out()
                 held, size = [], 0
         if size:
-            yield out()
+            yield from out()
+
+    return merged(data.mapInPandas(partial, schema), keys, shape, most_updates)
 
-    return merged(merged(data.mapInPandas(partial, schema), [*keys, "salt"]), keys)
 
+def merged(summaries: DataFrame, keys: Sequence[str], shape: Shape = DEFAULT, most_updates: int | None = None, fan_in: int = FAN_IN) -> DataFrame:
+    """``keys..., summary``: the sum of the summaries of each key, in a tree: no task adds more than ``fan_in`` at once.
 
-def merged(summaries: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``keys..., summary``: the sum of the summaries of each key."""
+    While a key has more summaries, those of each key are dealt into buckets by a hash, the buckets are counted, and dealt
+    anew if one holds more than may be added; each level is written to the checkpoint folder."""
+    keys = list(keys)
 
     @F.pandas_udf("binary")
     def add(s: pd.Series) -> bytes:
-        return merge([bytes(x) for x in s])
-
-    return summaries.groupBy(*keys).agg(add("summary").alias("summary"))
-
-
-def answers(summaries: DataFrame, keys: Sequence[str], shares: dict[str, float]) -> DataFrame:
-    """``keys..., n`` and a column for each share: its percentile from the summary."""
-    names = list(shares)
-    kind = "struct<n: bigint, " + ", ".join(f"`{x}`: double" for x in names) + ">"
-
-    @F.pandas_udf(kind)
-    def ask(s: pd.Series) -> pd.DataFrame:
-        found = [quantiles(bytes(x), list(shares.values())) for x in s]
-        return pd.DataFrame([(n, *v) for n, v in found], columns=["n", *names])
-
-    return summaries.select(*keys, ask("summary").alias("a")).select(*keys, "a.*")
+        if len(s) > fan_in:
+            raise ValueError("more summaries than may be added at once")
+        return merge([bytes(x) for x in s], 1, shape, most_updates)
+
+    now = checkpointed(summaries.select(*keys, "summary"))
+    most = lambda df, by: df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    while (n := most(now, keys)) > fan_in:
+        buckets = -(-2 * n // fan_in)
+        numbered = now.withColumn("_uid", F.monotonically_increasing_id())
+        while most(dealt := numbered.withColumn("_slot", F.pmod(F.xxhash64("_uid", F.lit(buckets)), F.lit(buckets))), [*keys, "_slot"]) > fan_in:
+            buckets += -(-buckets // 2)
+        now = checkpointed(dealt.groupBy(*keys, "_slot").agg(add("summary").alias("summary")).select(*keys, "summary"))
+    return now.groupBy(*keys).agg(add("summary").alias("summary"))
+
+
+def answers(summaries: DataFrame, keys: Sequence[str], shares: dict[str, float], shape: Shape = DEFAULT) -> DataFrame:
+    """``keys..., n`` and a column for each share: its percentile from the summary (one row per key, as of ``merged``)."""
+    names, keys = list(shares), list(keys)
+    kinds = dict(summaries.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n bigint, " + ", ".join(f"`{x}` double" for x in names)
+
+    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, found = quantiles(merge([bytes(x) for x in pdf["summary"]], 1, shape), list(shares.values()), shape)
+        return pd.DataFrame([[*[pdf[k].iloc[0] for k in keys], n, *found]], columns=[*keys, "n", *names])
+
+    # a group holds one summary: a batch of many of them would be as large as their number
+    return summaries.groupBy(*keys).applyInPandas(ask, schema)

@@ -9,9 +9,10 @@ from calorgrid.functions.keys import name_key, panel_key
 from calorgrid.llm.bpe import token_counts, token_ids
 from calorgrid.llm.overlap import cross_split_pairs, overlap_report
 from calorgrid.llm.packing import fill, pack
-from calorgrid.llm.quantiles import answers, merged, summarise
+from calorgrid.llm.quantiles import EPSILON, answers, merged, summarise
 from calorgrid.llm.sentences import sentence_places
-from calorgrid.llm.splits import cabinet_groups, frame_splits
+from calorgrid.llm.splits import cabinet_groups, frame_splits, split_shares
+from calorgrid.plans.problems import CENSUS_SQL
 from calorgrid.session import checkpointed, spread
 from calorgrid.sources.tables import class_names, table
 
@@ -28,6 +29,12 @@ def p1_splits(spark: SparkSession, sf: str) -> DataFrame:
     return frame_splits(table(spark, sf, "frame_report"), table(spark, sf, "cabinet_moves"), PROPORTIONS, VERDICTS)
 
 
+def p1_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each split has its share of the frames and of each verdict."""
+    frames = table(spark, sf, "frame_report")
+    return split_shares(frames, p1_splits(spark, sf), PROPORTIONS, VERDICTS, 0.02).select("split", "label", "kept")
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return cross_split_pairs(table(spark, sf, "frame_report"))
 
@@ -37,10 +44,13 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     return overlap_report(frames, cross_split_pairs(frames))
 
 
+def _census(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "anomaly_census").select(panel_key(F.col("panel")).alias("panel"), name_key(F.col("cls"), class_names(spark, sf)).alias("cls"), "run_day", "t_p99")
+
+
 def p5_days(spark: SparkSession, sf: str) -> DataFrame:
     """Summaries of t_p99 by panel, class and day."""
-    rows = table(spark, sf, "anomaly_census").select(panel_key(F.col("panel")).alias("panel"), name_key(F.col("cls"), class_names(spark, sf)).alias("cls"), "run_day", "t_p99")
-    return summarise(rows, ["panel", "cls", "run_day"], "t_p99")
+    return summarise(_census(spark, sf), ["panel", "cls", "run_day"], "t_p99")
 
 
 def p5_percentiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,6 +62,28 @@ def p5_daily(spark: SparkSession, sf: str) -> DataFrame:
     return answers(merged(p5_days(spark, sf), ["run_day"]), ["run_day"], SHARES)
 
 
+def p5_rank_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """``panel, cls, share, n, kept``: whether the value that counters (no lists of updates) give for a share has its rank
+    within epsilon n, the ranks being counted on the data. The value's own width, 2**-20 of it, is allowed."""
+    rows, keys = _census(spark, sf), ["panel", "cls"]
+    told = answers(summarise(rows, keys, "t_p99", most_updates=0), keys, SHARES)
+    told = checkpointed(told.unpivot([*keys, "n"], list(SHARES), "share", "x"))
+    at = told.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("share", "x"))).alias("xs")).alias("t")
+    values = rows.where(F.abs("t_p99") < F.lit(float("inf"))).select(*keys, "t_p99").alias("r")
+    # one row a key with a few values: left to Spark's own check of its size
+    joined = values.join(at, F.col("r.panel").eqNullSafe(F.col("t.panel")) & F.col("r.cls").eqNullSafe(F.col("t.cls")))
+    sides = []
+    for name in SHARES:
+        x = F.element_at("t.xs", F.lit(name))
+        wide = F.abs(x) * 2.0**-20
+        sides += [F.count_if(F.col("t_p99") < x - wide).alias(f"below_{name}"), F.count_if(F.col("t_p99") <= x + wide).alias(f"upto_{name}")]
+    ranks = joined.groupBy("r.panel", "r.cls").agg(F.count("*").alias("n"), *sides)
+    rank = lambda q: F.greatest(F.lit(1), F.ceil(F.col("n") * q - 1e-9))
+    kept = lambda name, q: (F.col(f"below_{name}") < rank(q) + EPSILON * F.col("n")) & (F.col(f"upto_{name}") >= rank(q) - EPSILON * F.col("n"))
+    out = F.array(*[F.struct(F.lit(name).alias("share"), kept(name, q).alias("kept")) for name, q in SHARES.items()])
+    return ranks.select("panel", "cls", "n", F.inline(out))
+
+
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return token_ids(spread(table(spark, sf, "documents").select("doc_id", "text"))).select("doc_id", "ids")
 
@@ -72,7 +104,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (p1_found, p1_splits, p3_found, p3_report, p5_percentiles, p5_daily, p7_ids, p8_containers, p8_fill, p9_found)
+    f.__name__: f for f in (p1_found, p1_splits, p1_shares, p3_found, p3_report, p5_percentiles, p5_daily, p5_rank_errors, p7_ids, p8_containers, p8_fill, p9_found)
 }
 
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)).replace("＇", "") + "　 "
@@ -85,6 +117,9 @@ k as (select frame_id, split, source, t_ambient, t_med, t_max, worst_temp, m.res
   then '_P' || regexp_extract(upper(translate(panel, 'Ｐｐ－０１２３４５６７８９', 'PP-0123456789')), '^\s*P[-_ ]*0*([0-9]+)', 1) else '' end as cabinet from h where m.a || m.e <> '')"""
 
 SQL = {
+    "p1_shares": """select s as split, l as label, true as kept from (values ('train'), ('val'), ('test')) a(s),
+  (select '(all)' as l from frame_report union select case when verdict in ('normal', 'caution', 'abnormal', 'critical') then verdict else '(other)' end from frame_report)""",
+    "p5_rank_errors": f"""with {CENSUS_SQL} select panel, cls, share, n, true as kept from (select panel, cls, count(*) n from c where isfinite(t_p99) group by all), (values ('p50'), ('p90'), ('p95'), ('p99')) s(share)""",
     "p1_found": f"""with recursive {_STEMS},
 e as (select old_key as a, new_key as b from cabinet_moves union select new_key, old_key from cabinet_moves),
 r as (select a as x, a as y from e union select r.x, e.b from r join e on e.a = r.y),
