@@ -111,23 +111,50 @@ def test_sentences_cover_all_but_white_space(text):
     assert text[at:].strip() == ""
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=300, deadline=None)
 @given(TEXT.map(lambda t: t * 4), st.integers(5, 40))
 def test_chunks_compose(text, chunk):
-    at, state, best = s._cuts(text, chunk), 0, {}
+    """Chunks are read alone, for every state they may begin in; composed they give the sentences of the whole."""
+    at, state, best = s.chunk_cuts(text, chunk), 0, {}
     for k, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
-        lo, hi = s._window(text, a, b)
-        events = s.lex(text[lo:hi], a - lo, b - lo, k == 0)
-        f = s.transition(s.np.array([e[0] for e in events], dtype=int))
-        for end, nxt in s.boundaries(events, state):
-            best[lo + nxt] = min(lo + end, best.get(lo + nxt, 1 << 30))
-        assert f[state] == s.transition(s.np.array([e[0] for e in events], dtype=int))[state]
+        f, events, skip, instead = s.chunk_function(text[a:b], k == 0)
+        for end, nxt in s.chunk_boundaries(events, skip, instead, state):
+            best[a + nxt] = min(a + end, best.get(a + nxt, 1 << 30))
         state = f[state]
     starts, size = sorted(best), len(text.rstrip())
     got = [(x, best[starts[i + 1]] if i + 1 < len(starts) else size) for i, x in enumerate(starts)]
     assert [g for g in got if g[1] > g[0]] == s.sentences(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=80))
+def test_every_token_has_a_compiled_class(text):
+    assert "".join(s._LEX.findall(text)) == text
+    assert all(s.classify(t) in s.machine().place or " " in t[1:] for t in s._tokens(text, False))
+
+
+def test_the_rules_are_compiled():
+    m = s.machine()
+    assert len(m.next) == len(m.acts) == len(m.states) * m.width and len(m.states) < 1000
+    assert {x // m.width for x in m.next} <= set(range(len(m.states)))
+    kinds = {state[0] for state in m.states}
+    assert {"abbreviation", "initial", "unit", "date 0", "date 1", "article's ordinal", "list", "thai gap", "last"} <= kinds
+
+
+@pytest.mark.parametrize("mark", ["։", "؟", "።", "။", "។", "༎", "‽", "⸮", "𑁇"])
+def test_marks_of_any_script(mark):
+    assert pieces(f"ab{mark} Cd{mark}") == [f"ab{mark}", f"Cd{mark}"]
+
+
+def test_rules_see_as_far_as_they_need():
+    """No limit of sight: spaces, closers and letters of any number between what decides."""
+    gap = " " * 500
+    assert pieces(f"am{gap}5. März war es.{gap}Dann.") == [f"am{gap}5. März war es.", "Dann."]
+    assert pieces(f"한{'-' * 300}… 그리고") == [f"한{'-' * 300}… 그리고"] and pieces(f"ab{'-' * 300}… Und") == [f"ab{'-' * 300}…", "Und"]
+    assert pieces(f"ab.{')' * 400} Cd") == [f"ab.{')' * 400}", "Cd"] and pieces("x" * 100_000 + ". Y") == ["x" * 100_000 + ".", "Y"]
+    assert pieces("It can’t. So it is.") == ["It can’t.", "So it is."]
+
+
 def test_a_table_by_chunks(spark):
     r = random.Random(11)
     words = ["Wort", "etc. ", "Fig. 4", ". ", "! ", "“a. b”", "\n\n", "한국어다. ", " ", "x"]
