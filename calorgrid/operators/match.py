@@ -122,5 +122,5 @@ def kappa(rows: DataFrame, first: str, second: str) -> DataFrame:
 
 def common_frames(rows: DataFrame, frame: str, annotator: str) -> DataFrame:
     """Frames that every annotator has."""
-    all_of = rows.agg(F.countDistinct(annotator).alias("m")).first()[0]
-    return rows.groupBy(frame).agg(F.countDistinct(annotator).alias("m")).where(F.col("m") == all_of).select(frame)
+    all_of = rows.agg(F.countDistinct(annotator).alias("_all"))  # one row
+    return rows.groupBy(frame).agg(F.countDistinct(annotator).alias("_m")).join(F.broadcast(all_of), F.col("_m") == F.col("_all")).select(frame)

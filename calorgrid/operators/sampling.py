@@ -59,11 +59,12 @@ def leave_one_out(rows: DataFrame, session: str, sessions: Sequence[str] | DataF
     return each.withColumn("split", F.when(F.col(session) == F.col("fold"), "val").otherwise("train"))
 
 
-def balanced_sessions(rows: DataFrame, session: str, cls: str, ratio: float = 0.2, most_sessions: int = 10_000) -> list[str]:
+def balanced_sessions(rows: DataFrame, session: str, cls: str, ratio: float = 0.2, frame: str | None = None, most_sessions: int = 10_000) -> list[str]:
     """Sessions for validation: greedily the one that brings class shares and size nearest to ``ratio``, until it is reached.
 
-    Works on the session x class counts, of which ``most_sessions`` x 64 may be; more of them, or more than
-    ``most_sessions``, is an error. One session only gives none: split by rows then."""
+    Size is counted in frames if ``frame`` names their column, else in rows. A session that would leave nothing for
+    training is passed over, so one session alone gives none (see ``balanced_validation``). Works on the session x class
+    counts, of which ``most_sessions`` x 64 may be; more of them, or more than ``most_sessions``, is an error."""
     table = rows.groupBy(session, cls).count().limit(most_sessions * 64 + 1).collect()
     if len(table) > most_sessions * 64:
         raise ValueError("too many counts of sessions and classes")
@@ -72,30 +73,54 @@ def balanced_sessions(rows: DataFrame, session: str, cls: str, ratio: float = 0.
         counts.setdefault(s, {})[c] = n
     if len(counts) > most_sessions:
         raise ValueError("too many sessions")
-    if len(counts) < 2:
-        return []
+    sizes = {s: sum(per.values()) for s, per in counts.items()}
+    if frame is not None:
+        sizes = dict(rows.groupBy(session).agg(F.countDistinct(frame)).collect())
     total: dict = {}
     for per in counts.values():
         for c, n in per.items():
             total[c] = total.get(c, 0) + n
-    everything = sum(total.values())
-    target, chosen, inside = ratio * everything, [], dict.fromkeys(total, 0)
+    everything = sum(sizes.values())
+    target, size, chosen, inside = max(1, int(ratio * everything)), 0, [], dict.fromkeys(total, 0)
     left = sorted(counts, key=str)
-    while left and sum(inside.values()) < target:
+    while size < target:
 
         def cost(s: str) -> float:
-            now = {c: inside[c] + counts[s].get(c, 0) for c in total}
-            return sum(total[c] * abs(now[c] / total[c] - ratio) for c in total) + 2 * abs(sum(now.values()) - target)
+            off = sum(total[c] * abs((inside[c] + counts[s].get(c, 0)) / total[c] - ratio) for c in total)
+            return round(off + 2 * abs(size + sizes[s] - target), 9)  # noqa: B023
 
-        best = min(left, key=lambda s: (cost(s), str(s)))
+        able = [s for s in left if size + sizes[s] < everything]
+        if not able:
+            break
+        best = min(able, key=lambda s: (cost(s), str(s)))
         left.remove(best)
         chosen.append(best)
+        size += sizes[best]
         for c, n in counts[best].items():
             inside[c] += n
     return chosen
 
 
+def balanced_validation(rows: DataFrame, session: str, cls: str, frame: str, ratio: float = 0.2, seed: int = 0) -> DataFrame:
+    """``rows`` with ``split``: whole sessions for validation by ``balanced_sessions``; where there is only one, its frames by
+    seeded hash, max(1, floor of ratio) of them (one frame alone is trained on). Null sessions are a session, null frames a
+    frame."""
+    named = rows.withColumn("_s", F.coalesce(F.col(session).cast("string"), F.lit("(none)"))).withColumn("_f", F.coalesce(F.col(frame).cast("string"), F.lit("(none)")))
+    held = balanced_sessions(named, "_s", cls, ratio, "_f")
+    if held:
+        return named.withColumn("split", F.when(F.col("_s").isin(held), "val").otherwise("train")).drop("_s", "_f")
+    frames = numbered(named.select("_f").distinct().withColumn("_h", shuffled("_f", seed=seed)), [], [F.col("_h"), F.col("_f")], "_i")
+    # one row with the number of frames
+    n = frames.agg(F.count("*").alias("_n"))
+    some = frames.join(F.broadcast(n), F.lit(True)).where(F.col("_i") < F.least(F.greatest(F.lit(1), F.floor(F.col("_n") * ratio)), F.col("_n") - 1)).select("_f", F.lit("val").alias("split"))
+    return named.join(some, "_f", "left").withColumn("split", F.coalesce("split", F.lit("train"))).drop("_s", "_f")
+
+
 def jittered(rows: DataFrame, columns: Sequence[str], key: str, amount: float, seed: int = 0) -> DataFrame:
     """Columns moved by up to ``amount``, evenly, by a hash of key and seed: alike however the rows are parted."""
-    u = lambda c: F.pmod(F.xxhash64(F.col(key), F.lit(f"{c}{seed}")), F.lit(1_000_003)) / 1_000_003 * 2 - 1
-    return rows.withColumns({c: F.col(c) + u(c) * amount for c in columns})
+    return rows.withColumns({c: F.col(c) + jitter(c, key, seed) * amount for c in columns})
+
+
+def jitter(name: str, key: str, seed: int = 0) -> Column:
+    """A number between -1 and 1 by a hash of key, name and seed."""
+    return F.pmod(F.xxhash64(F.col(key), F.lit(f"{name}{seed}")), F.lit(1_000_003)) / 1_000_003 * 2 - 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -53,23 +54,28 @@ def leaders(rows: DataFrame, ident: str, vector: str, block: str, least: float =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now: object = object()
-        held: list[np.ndarray] = []
-        ids: list = []
+        held, ids = np.zeros((0, 0)), []  # rows beyond the number of ids are room to grow
         for pdf in batches:
             out = []
             for block_, i, v in zip(pdf["block"], pdf["id"], pdf["v"], strict=True):
                 if block_ != now:
-                    now, held, ids = block_, [], []
+                    now, held, ids = block_, np.zeros((0, 0)), []
                 x = np.zeros(0) if v is None else np.asarray(v, dtype=float)
                 norm = float(np.linalg.norm(x))
                 lead = i
                 if norm > 0:
                     x = x / norm
-                    near = np.flatnonzero(np.stack(held) @ x >= least) if held else []
+                    if held.shape[1] != len(x):
+                        if ids:
+                            raise ValueError("vectors of a block differ in length")
+                        held = np.zeros((64, len(x)))
+                    near = np.flatnonzero(held[: len(ids)] @ x >= least)
                     if len(near):
                         lead = ids[near[0]]
                     else:
-                        held.append(x)
+                        if len(ids) == len(held):
+                            held = np.concatenate([held, np.zeros_like(held)])
+                        held[len(ids)] = x
                         ids.append(i)
                 out.append((i, lead))
             yield pd.DataFrame(out, columns=["id", "leader"])
@@ -105,16 +111,24 @@ def sign_hash(vector: str, bits: int = 64) -> Column:
 
 
 def near_hashes(rows: DataFrame, ident: str, code: str, radius: int = 3, bits: int = 64) -> DataFrame:
-    """``id_a, id_b, distance`` of codes within Hamming ``radius``: joined on ``radius + 1`` segments, one of which must be the
-    same; a pair comes out at its first common segment only. Equal codes are one class, told by its smallest id; ``members``
-    has the class of each row."""
-    width = bits // (radius + 1)
+    """``id_a, id_b, distance`` of codes within Hamming ``radius``. Equal codes are one class, told by its smallest id;
+    ``members`` has the class of each row.
+
+    A code has four segments of a quarter of its bits, and of two codes that near one segment differs in at most radius / 4
+    bits (rounded down): codes are joined on a segment, on one side as it is, on the other with up to that many bits
+    flipped. So a key has 16 bits of 64 whatever the radius, and the number of keys grows with it instead of the number of
+    rows under a key. A pair comes out at its first such segment only."""
+    parts, width = 4, bits // 4
+    most = radius // parts
     reps = rows.where(F.col(code).isNotNull()).groupBy(F.col(code).alias("c")).agg(F.min(ident).alias("id"))
     segment = lambda c, k: F.call_function("shiftrightunsigned", c, F.lit(k * width)).bitwiseAND(F.lit((1 << width) - 1))
-    parts = reps.select("id", "c", F.posexplode(F.array(*[segment(F.col("c"), k) for k in range(radius + 1)])).alias("k", "s"))
-    a, b = parts.alias("a"), parts.alias("b")
+    masks = [sum(1 << b for b in chosen) for n in range(most + 1) for chosen in combinations(range(width), n)]
+    flips = F.array(*[F.lit(m).cast("long") for m in masks])
+    a = reps.select("id", "c", F.posexplode(F.array(*[segment(F.col("c"), k) for k in range(parts)])).alias("k", "s")).alias("a")
+    each = reps.select("id", "c", F.posexplode(F.array(*[segment(F.col("c"), k) for k in range(parts)])).alias("k", "s"))
+    b = each.select("id", "c", "k", F.explode(F.transform(flips, lambda m: F.col("s").bitwiseXOR(m))).alias("s")).alias("b")
     first = F.lit(True)
-    for k in range(radius):
-        first &= (F.col("a.k") <= k) | (segment(F.col("a.c"), k) != segment(F.col("b.c"), k))
+    for k in range(parts - 1):
+        first &= (F.col("a.k") <= k) | (F.bit_count(segment(F.col("a.c"), k).bitwiseXOR(segment(F.col("b.c"), k))) > most)
     distance = F.bit_count(F.col("a.c").bitwiseXOR(F.col("b.c")))
     return a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.s") == F.col("b.s")) & (F.col("a.id") < F.col("b.id"))).where(first & (distance <= radius)).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), distance.alias("distance"))

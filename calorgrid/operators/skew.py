@@ -1,8 +1,8 @@
 """Results per key where a few keys hold most rows.
 
 Heavy keys are found with a mergeable frequent-items sketch and counted exactly; their rows are spread by a salt, marked
-by a broadcast join with the list of heavy keys (at most 1/share of them). All other keys take the ordinary shuffle;
-the two results are united.
+by a broadcast join with the list of heavy keys (at most 1/share of them). All other keys take the ordinary shuffle; the
+results are united by key.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calorgrid.session import checkpointed
+
 _SEP = "\x1f"
 
 
@@ -33,46 +35,32 @@ def heavy_keys(rows: DataFrame, keys: list[str], share: float, tracked: int = 16
     return counted.where(F.col("n") >= F.lit(share) * F.col("_total")).select(*keys, "n")
 
 
-def _ranked(rows: DataFrame, by: list[str], worst: int) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(F.desc("_v"), F.asc_nulls_last("_id"))
-    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= worst)
-
-
-def _summary(rows: DataFrame, by: list[str]) -> DataFrame:
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.count("_v").alias("n_value"), F.sum("_v").alias("_s"), F.max("_v").alias("max_value"))
-
-
 def per_key(rows: DataFrame, keys: list[str], measure: str, ident: str, heavy: DataFrame, worst: int = 3, salts: int = 256) -> DataFrame:
     """``keys..., n, n_value, mean_value, max_value, worst``: one row per key; ``worst`` has the ids of its largest values.
 
-    NaN, infinities and null are no values, null keys are keys of their own, ties in ``worst`` go to the smaller id.
-    Rows of ``heavy`` keys (see ``heavy_keys``) are reduced by (key, salt) first, the salt being a hash of the id, so
-    that no task gets a whole heavy key; all other rows are reduced by key. No rows give no rows."""
+    NaN, infinities and null are no values, null keys are keys of their own, ties in ``worst`` go to the smaller id. Rows of
+    ``heavy`` keys (see ``heavy_keys``), told by a broadcast join (at most 1/share keys, written once), are spread by a salt,
+    a hash of the id, and reduced by (key, salt) first, so that no task gets a whole heavy key; rows of all other keys are
+    reduced by key in the same plan, and both united by key. Sums are combined, and of each key's values only the
+    ``worst`` largest kept, before the shuffle. Two scans: for the sums, and for the largest. No rows give no rows."""
     value = F.when(F.abs(F.col(measure)) < F.lit(float("inf")), F.col(measure) + F.lit(0.0))
     base = rows.select(*keys, F.col(ident).alias("_id"), value.alias("_v"), _joined(keys).alias("_key"))
     whole = F.lit(True)
     for k in keys:
         whole &= F.col(k).isNotNull()
-    marks = heavy.select(_joined(keys).alias("_key"), F.lit(True).alias("_heavy"))
-    marked = base.join(F.broadcast(marks), "_key", "left").withColumn("_heavy", F.col("_heavy").isNotNull() & whole)
-    hot = marked.where("_heavy").withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)))
-    cold = marked.where("not _heavy")
-    hot_sums = _summary(hot, [*keys, "_salt"]).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "n_value", "_s")], F.max("max_value").alias("max_value"))
-    hot_top = _ranked(_ranked(hot.where("_v is not null"), [*keys, "_salt"], worst).drop("_r"), keys, worst)
-    cold_top = _ranked(cold.where("_v is not null"), keys, worst)
-    top = (
-        hot_top.drop("_salt")
-        .unionByName(cold_top)
-        .groupBy(*keys)
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_id"))), lambda x: x["_id"]).alias("worst"))
-    )
-    on = F.lit(True)
-    for k in keys:
-        on &= F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-    none = F.array().cast(f"array<{dict(base.dtypes)['_id']}>")
-    return (
-        hot_sums.unionByName(_summary(cold, keys))
-        .alias("a")
-        .join(top.alias("b"), on, "left")
-        .select(*[F.col(f"a.{k}").alias(k) for k in keys], "n", "n_value", (F.col("_s") / F.col("n_value")).alias("mean_value"), "max_value", F.coalesce("worst", none).alias("worst"))
-    )
+    marks = checkpointed(heavy.select(_joined(keys).alias("_key"))).select("_key", F.lit(True).alias("_heavy"))
+    salt = F.when(F.col("_heavy") & whole, F.pmod(F.xxhash64("_id"), F.lit(salts))).otherwise(-1)
+    salted = base.join(F.broadcast(marks), "_key", "left").select(*keys, "_id", "_v", salt.alias("_salt"))
+    parts = salted.groupBy(*keys, "_salt").agg(F.count("*").alias("n"), F.count("_v").alias("n_value"), F.sum("_v").alias("_s"), F.max("_v").alias("max_value"))
+    first = _ranked(salted.where("_v is not null"), [*keys, "_salt"], worst)
+    best = first.groupBy(*keys, "_salt").agg(F.collect_list(F.struct((-F.col("_v")).alias("m"), F.col("_id").isNull().alias("u"), "_id")).alias("_top"))
+    # both are of one row a (key, salt)
+    both = parts.unionByName(best, allowMissingColumns=True).groupBy(*keys)
+    sums = both.agg(*[F.sum(c).alias(c) for c in ("n", "n_value", "_s")], F.max("max_value").alias("max_value"), F.array_sort(F.flatten(F.collect_list("_top"))).alias("_top"))
+    ids = F.transform(F.slice("_top", 1, worst), lambda x: x["_id"])
+    return sums.select(*keys, "n", "n_value", (F.col("_s") / F.col("n_value")).alias("mean_value"), "max_value", ids.alias("worst"))
+
+
+def _ranked(rows: DataFrame, by: list[str], worst: int) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy(F.desc("_v"), F.asc_nulls_last("_id"))
+    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= worst).drop("_r")

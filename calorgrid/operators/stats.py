@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calorgrid.operators.exact import quantiles
+from calorgrid.operators.windows import numbered
+
 
 def ambient_by_percentile(rows: DataFrame, by: Sequence[str], value: str, share: float = 0.1) -> DataFrame:
     """``by..., ambient``: mean of the values up to the (interpolated) percentile of their group."""
@@ -15,10 +18,15 @@ def ambient_by_percentile(rows: DataFrame, by: Sequence[str], value: str, share:
 
 
 def ambient_by_rank(rows: DataFrame, by: Sequence[str], value: str, share: float = 0.1) -> DataFrame:
-    """``by..., ambient``: mean of the lowest max(1, floor(share n)) values of the group."""
-    w = Window.partitionBy(*by)
-    ranked = rows.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(w.orderBy(value))).withColumn("_n", F.count("*").over(w))
-    return ranked.where(F.col("_r") <= F.greatest(F.lit(1), F.floor(F.col("_n") * share))).groupBy(*by).agg(F.avg(value).alias("ambient"))
+    """``by..., ambient``: mean of the lowest max(1, floor(share n)) values of the group; null values are left out.
+
+    Places come from range partitions (``numbered``), so no group is sorted in one task."""
+    there = rows.where(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
+    n = there.groupBy(*by).agg(F.count("*").alias("_n"))
+    k = F.greatest(F.lit(1), F.floor(F.col("_n") * share))
+    placed = numbered(there.select(*by, "_v"), by, [F.col("_v")], "_i")
+    low = beside(placed, n, by).where(F.col("_i") < k)
+    return low.groupBy(*by).agg(F.avg("_v").alias("ambient"))
 
 
 def quantile_columns(value: str, shares: dict[str, float], accuracy: int | None = None) -> list[Column]:
@@ -29,9 +37,18 @@ def quantile_columns(value: str, shares: dict[str, float], accuracy: int | None
     return [F.percentile(value, q).alias(name) for name, q in shares.items()]
 
 
+def beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left`` with the other columns of ``right``, which has one row a key; null keys are equal."""
+    on = F.lit(True)
+    for k in keys:
+        on &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    return left.alias("l").join(right.alias("r"), on).select("l.*", *[f"r.{c}" for c in right.columns if c not in keys])
+
+
 def frame_statistics(rows: DataFrame, by: Sequence[str], value: str, saturated: float = 250.0, near: float = 5.0) -> DataFrame:
-    """Count, median, mean, p95, p99, maximum, saturated values, and values near the maximum with their share."""
-    top = rows.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("t_mean"), F.max(value).alias("t_max"), F.count_if(F.col(value) > saturated).alias("n_saturated"), *quantile_columns(value, {"t_med": 0.5, "t_p95": 0.95, "t_p99": 0.99}))
+    """Count, median, mean, p95, p99, p99.9, maximum, saturated values, and values near the maximum with their share."""
+    top = rows.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("t_mean"), F.max(value).alias("t_max"), F.count_if(F.col(value) > saturated).alias("n_saturated"))
+    top = beside(top, quantiles(rows, list(by), value, {"t_med": 0.5, "t_p95": 0.95, "t_p99": 0.99, "t_p999": 0.999}), by)
     hot = rows.join(top.select(*by, "t_max"), list(by)).groupBy(*by).agg(F.count_if(F.col(value) >= F.col("t_max") - near).alias("n_near"))
     return top.join(hot, list(by)).withColumn("near_pct", F.col("n_near") * 100 / F.col("n"))
 
@@ -39,7 +56,13 @@ def frame_statistics(rows: DataFrame, by: Sequence[str], value: str, saturated:
 def spread_profile(rows: DataFrame, frame: str, cls: str, value: str, over: Sequence[float] = (5, 15)) -> DataFrame:
     """Spread (max - min) of a class within a frame where it occurs twice or more, profiled per class."""
     each = rows.groupBy(frame, cls).agg(F.count(value).alias("k"), (F.max(value) - F.min(value)).alias("spread")).where("k >= 2")
-    return each.groupBy(cls).agg(F.count("*").alias("n"), *quantile_columns("spread", {"med": 0.5, "p90": 0.9, "p99": 0.99}), F.max("spread").alias("most"), *[F.count_if(F.col("spread") > x).alias(f"over_{x:g}") for x in over])
+    out = each.groupBy(cls).agg(F.count("*").alias("n"), F.max("spread").alias("most"), *[F.count_if(F.col("spread") > x).alias(f"over_{x:g}") for x in over])
+    return beside(out, quantiles(each, [cls], "spread", {"med": 0.5, "p90": 0.9, "p99": 0.99}), [cls])
+
+
+def with_all(rows: DataFrame, by: str) -> DataFrame:
+    """Each row under its group (a null one is ``(none)``) and again under ``(all)``."""
+    return rows.withColumn(by, F.explode(F.array(F.coalesce(F.col(by).cast("string"), F.lit("(none)")), F.lit("(all)"))))
 
 
 def rolled_up(rows: DataFrame, by: str, aggregates: Sequence[Column]) -> DataFrame:
@@ -84,10 +107,11 @@ def window_sweep(rows: DataFrame, value: str, windows: Sequence[tuple[float, flo
     x = F.col(value)
     parts = F.array(*[F.struct(F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"), F.abs(x - quantise(x, lo, hi)).alias("e"), ((x < lo) | (x > hi)).alias("out")) for lo, hi in windows])
     each = rows.where(x.isNotNull()).select(F.inline(parts))
-    return each.groupBy("lo", "hi").agg(F.count("*").alias("n"), (F.count_if("out") * 100 / F.count("*")).alias("outside_pct"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"), F.percentile("e", 0.95).alias("p95"), F.max("e").alias("most"))
+    out = each.groupBy("lo", "hi").agg(F.count("*").alias("n"), (F.count_if("out") * 100 / F.count("*")).alias("outside_pct"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"), F.max("e").alias("most"))
+    return beside(out, quantiles(each, ["lo", "hi"], "e", {"p95": 0.95}), ["lo", "hi"])
 
 
 def quality_gated(rows: DataFrame, quality: str, least: float, least_rows: int) -> DataFrame:
     """Rows of at least that quality if there are ``least_rows`` of them, else all rows."""
-    good = rows.where(F.col(quality) >= least)
-    return good if good.limit(least_rows).count() >= least_rows else rows
+    enough = rows.agg((F.count_if(F.col(quality) >= least) >= least_rows).alias("_enough"))  # one row
+    return rows.join(F.broadcast(enough), F.coalesce(F.col(quality) >= least, F.lit(False)) | ~F.col("_enough")).drop("_enough")

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from calorgrid.session import checkpointed
 
+#: rows of a group that one task looks at for runs
+_STRETCH = 100_000
+
 
 def with_peer_median(rows: DataFrame, by: Sequence[str], value: str, counted: Column | None = None, least: int = 2, name: str = "peer") -> DataFrame:
     """``rows`` with the median of their group; null with fewer than ``least`` peers. Only ``counted`` rows are peers.
@@ -24,10 +27,24 @@ def with_peer_median(rows: DataFrame, by: Sequence[str], value: str, counted: Co
 
 
 def run_lengths(rows: DataFrame, by: Sequence[str], order: Sequence[str], hot: Column) -> DataFrame:
-    """``by..., run, length``: stretches of successive rows for which ``hot`` holds."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    marked = rows.withColumn("_i", F.row_number().over(w)).where(hot)
-    return marked.withColumn("_g", F.col("_i") - F.row_number().over(w)).groupBy(*by, "_g").agg(F.min("_i").alias("run"), F.count("*").alias("length")).drop("_g")
+    """``by..., run, length``: stretches of successive rows for which ``hot`` holds (null doesn't); ``run`` is the place of the
+    first row in its group, from 1.
+
+    Rows are ``numbered`` by range partitions, so a group of any size is spread. Within a partition runs are islands of
+    successive places; a run that goes on in the next one is sewn to it: only each group's islands of a partition, at most
+    as many as it has runs there, meet by their ends."""
+    placed = numbered(rows.withColumn("_hot", F.coalesce(hot, F.lit(False))), by, [F.col(c) for c in order], "_i")
+    part = placed.select(*by, "_i", "_hot").withColumn("_part", F.floor(F.col("_i") / _STRETCH))
+    w = Window.partitionBy(*by, "_part").orderBy("_i")
+    marked = part.where("_hot").withColumn("_g", F.col("_i") - F.row_number().over(w))
+    islands = marked.groupBy(*by, "_part", "_g").agg(F.min("_i").alias("_a"), F.max("_i").alias("_b"))
+    # an island that neither begins nor ends its stretch is a run; of the others there are two a stretch at most
+    whole = (F.col("_a") % _STRETCH != 0) & (F.col("_b") % _STRETCH != _STRETCH - 1)
+    v = Window.partitionBy(*by).orderBy("_a")
+    edges = islands.where(~whole).withColumn("_new", F.when(F.lag("_b").over(v) == F.col("_a") - 1, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(v))
+    sewn = edges.groupBy(*by, "_run").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b")).drop("_run")
+    runs = islands.where(whole).select(*by, "_a", "_b").unionByName(sewn)
+    return runs.select(*by, (F.col("_a") + 1).alias("run"), (F.col("_b") - F.col("_a") + 1).alias("length"))
 
 
 def round_robin(rows: DataFrame, panel: str, date: str, order: Sequence[Column], quota: int, always: Column | None = None) -> DataFrame:
@@ -55,6 +72,8 @@ def numbered(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str],
     before = Window.partitionBy(F.lit("all")).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_shift"))  # one row a partition
     placed = spread.join(F.broadcast(starts), "_part").withColumn("_g", F.col("_id") + F.col("_shift"))
+    if not by:
+        return placed.withColumn(name, F.col("_g")).select(*[c for c in rows.columns if c != name], name)
     first = placed.groupBy(*by).agg(F.min("_g").alias("_f")).alias("f")
     on = F.lit(True)
     for c in by:

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from calorgrid.functions import geometry as g
 from calorgrid.functions.keys import panel_key
 from calorgrid.operators import match, sampling
+from calorgrid.operators.exact import quantiles
 from calorgrid.operators.rowparse import parse_lines
+from calorgrid.operators.stats import beside
 from calorgrid.plans.registry import Registry
 from calorgrid.sources.labels import boxes_of_text
 from calorgrid.sources.sinks import annotation_xml, label_texts
@@ -39,7 +41,11 @@ _IOU = """greatest(0, least(a.x2, c.x2) - greatest(a.x1, c.x1)) * greatest(0, le
 def box_geometry(spark: SparkSession, sf: str) -> DataFrame:
     w, h, share, ratio = g.shape(_xy())
     b = boxes(spark, sf).select("cls", w.alias("w"), h.alias("h"), share.alias("area_pct"), ratio.alias("ratio"))
-    return b.groupBy("cls").agg(F.count("*").alias("n"), *[F.round(F.median(c), 6).alias(c) for c in ("w", "h", "area_pct", "ratio")], F.count_if((F.col("w") < 8) | (F.col("h") < 8)).alias("small"), F.count_if(F.col("area_pct") > 30).alias("large"))
+    out = b.groupBy("cls").agg(F.count("*").alias("n"), F.count_if((F.col("w") < 8) | (F.col("h") < 8)).alias("small"), F.count_if(F.col("area_pct") > 30).alias("large"))
+    # the four columns of a class as four keys, so that one pass finds all medians
+    long = b.select("cls", F.inline(F.array(*[F.struct(F.lit(c).alias("what"), F.col(c).alias("x")) for c in ("w", "h", "area_pct", "ratio")])))
+    middle = quantiles(long, ["cls", "what"], "x", {"m": 0.5}).groupBy("cls").pivot("what", ["w", "h", "area_pct", "ratio"]).agg(F.round(F.first("m"), 6))
+    return beside(out, middle, ["cls"])
 
 
 @query(f"""with {_BOX}, t as (select det_id, x1 / 1.53 - 44 a, y1 / 1.53 - 46 b, x2 / 1.53 - 44 c, y2 / 1.53 - 46 d from b), k as (select *, greatest(0, a) e, greatest(0, b) f, least(320, c) g, least(240, d) h from t)
@@ -104,9 +110,9 @@ def greedy_match_scores(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"with {_BOX}, n as (select annotator, count(*) n, count(distinct stem) frames from b group by 1) select annotator, n, round(n / frames, 6) per_frame, (max(n) over () - min(n) over ()) / max(n) over () > 0.1 as uneven from n")
 def annotator_counts(spark: SparkSession, sf: str) -> DataFrame:
     n = boxes(spark, sf).groupBy("annotator").agg(F.count("*").alias("n"), F.countDistinct("stem").alias("frames"))
-    ends = n.agg(F.max("n").alias("hi"), F.min("n").alias("lo")).first()
-    uneven = bool(ends["hi"]) and (ends["hi"] - ends["lo"]) / ends["hi"] > 0.1
-    return n.select("annotator", "n", F.round(F.col("n") / F.col("frames"), 6).alias("per_frame"), F.lit(uneven).alias("uneven"))
+    every = Window.partitionBy(F.lit("all"))  # of one row an annotator
+    top = F.max("n").over(every)
+    return n.select("annotator", "n", F.round(F.col("n") / F.col("frames"), 6).alias("per_frame"), ((top - F.min("n").over(every)) / top > 0.1).alias("uneven"))
 
 
 @query(f"with {_BOX} select stem from b group by stem having count(distinct annotator) = 2")
@@ -180,13 +186,14 @@ def annotation_elements(spark: SparkSession, sf: str) -> DataFrame:
 def jitter_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
     """Overlap of each box with itself after it is moved by up to 1.6, 6.4 or 16 pixels, per amount."""
     b = boxes(spark, sf).select("det_id", "x1", "y1", "x2", "y2")
-    parts = []
-    for amount in (1.6, 6.4, 16.0):
-        moved = sampling.jittered(b, ["x1", "y1"], "det_id", amount).select("det_id", (F.col("x1")).alias("u1"), F.col("y1").alias("v1"))
-        j = b.join(moved, "det_id")
-        there = [F.col("u1"), F.col("v1"), F.col("u1") + F.col("x2") - F.col("x1"), F.col("v1") + F.col("y2") - F.col("y1")]
-        parts.append(j.agg(F.lit(amount).alias("amount"), F.count("*").alias("n"), F.round(F.median(g.iou(_xy(), there)), 6).alias("median_iou")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    def overlap(amount: float) -> Column:
+        u, v = (F.col(c) + sampling.jitter(c, "det_id") * amount for c in ("x1", "y1"))
+        return g.iou(_xy(), [u, v, u + F.col("x2") - F.col("x1"), v + F.col("y2") - F.col("y1")])
+
+    each = b.select(F.inline(F.array(*[F.struct(F.lit(a).alias("amount"), overlap(a).alias("iou")) for a in (1.6, 6.4, 16.0)])))
+    n = each.groupBy("amount").agg(F.count("*").alias("n"))
+    return n.join(quantiles(each, ["amount"], "iou", {"median_iou": 0.5}), "amount").withColumn("median_iou", F.round("median_iou", 6))
 
 
 @query("with p as (select d.cls, trim(x) panel from (select cls, unnest(string_split(panels, ',')) x from class_dim) d) select det_id, count(p.cls) > 0 as allowed from frame_dets f left join p on f.cls = p.cls and f.panel = p.panel group by det_id")

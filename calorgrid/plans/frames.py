@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from calorgrid.functions.grading import LEVELS, judged, ladder, ladder_with_fallback, rank, with_rules
 from calorgrid.functions.keys import frame_number, panel_order, session_of, stem_token
 from calorgrid.functions.numeric import bar, finite, quantise, to_byte
 from calorgrid.operators import stats, windows
+from calorgrid.operators.exact import quantiles
 from calorgrid.plans.registry import Registry
 from calorgrid.sources.tables import table
 
@@ -105,8 +106,8 @@ def verdict_fallthrough(spark: SparkSession, sf: str) -> DataFrame:
 def verdict_histogram(spark: SparkSession, sf: str) -> DataFrame:
     f = table(spark, sf, "frame_report").select(finite(F.col("t_max")).alias("a"), finite(F.col("t_med")).alias("b")).where("a is not null and b is not null")
     n = f.groupBy(ladder(F.col("a") - F.col("b"), (5, 15, 40)).alias("verdict")).agg(F.count("*").alias("n"))
-    top = n.groupBy().agg(F.sum("n").alias("s"), F.max("n").alias("m")).first()  # of at most four rows
-    return n.select("verdict", "n", rank(F.col("verdict")).alias("place"), F.round(F.col("n") * 100.0 / F.lit(top["s"] or 1), 6).alias("pct"), bar(F.col("n"), F.lit(top["m"] or 1)).alias("bar"))
+    every = Window.partitionBy(F.lit("all"))  # of at most four rows
+    return n.select("verdict", "n", rank(F.col("verdict")).alias("place"), F.round(F.col("n") * 100.0 / F.sum("n").over(every), 6).alias("pct"), bar(F.col("n"), F.max("n").over(every)).alias("bar"))
 
 
 @query("""with t as (select user_id, count(value) n, avg(value) t_mean, max(value) t_max, count_if(value > 250) n_saturated, quantile_cont(value, 0.5) t_med, quantile_cont(value, 0.95) t_p95, quantile_cont(value, 0.99) t_p99 from events group by 1),
@@ -119,8 +120,10 @@ def frame_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with {_READ} select cls, count(*) n, round(median(t_p99), 6) med, round(quantile_cont(t_p99, 0.9), 6) p90, round(quantile_cont(t_p99, 0.99), 6) p99, max(t_p99) most, count_if(t_p99 >= 60) hot, round(median(dt_amb), 6) rise from d group by cls having count(*) >= 5")
 def class_profile(spark: SparkSession, sf: str, need: Sequence[str] = _NEED) -> DataFrame:
-    q = stats.quantile_columns("t_p99", {"med": 0.5, "p90": 0.9, "p99": 0.99})
-    out = readings(spark, sf, need).groupBy("cls").agg(F.count("*").alias("n"), *q, F.max("t_p99").alias("most"), F.count_if(F.col("t_p99") >= 60).alias("hot"), F.median("dt_amb").alias("rise")).where("n >= 5")
+    d = readings(spark, sf, need)
+    out = d.groupBy("cls").agg(F.count("*").alias("n"), F.max("t_p99").alias("most"), F.count_if(F.col("t_p99") >= 60).alias("hot")).where("n >= 5")
+    out = stats.beside(out, quantiles(d, ["cls"], "t_p99", {"med": 0.5, "p90": 0.9, "p99": 0.99}), ["cls"])
+    out = stats.beside(out, quantiles(d, ["cls"], "dt_amb", {"rise": 0.5}), ["cls"])
     return out.select("cls", "n", "most", "hot", *[F.round(c, 6).alias(c) for c in ("med", "p90", "p99", "rise")])
 
 
@@ -134,7 +137,10 @@ def phase_spread(spark: SparkSession, sf: str, need: Sequence[str] = _NEED) -> D
 select case when grouping(p) = 1 then '(all)' else p end as panel, count(*) n, round(quantile_cont(x, 0.5), 6) p50, round(quantile_cont(x, 0.95), 6) p95, round(max(x), 6) most from f group by rollup(p)""")
 def panel_quantile_rollup(spark: SparkSession, sf: str) -> DataFrame:
     f = table(spark, sf, "frame_report").select("panel", (finite(F.col("t_max")) - finite(F.col("t_ambient"))).alias("x")).where("x is not null")
-    return stats.rolled_up(f, "panel", [F.count("*").alias("n"), F.round(F.percentile("x", 0.5), 6).alias("p50"), F.round(F.percentile("x", 0.95), 6).alias("p95"), F.round(F.max("x"), 6).alias("most")])
+    f = stats.with_all(f, "panel")
+    q = quantiles(f, ["panel"], "x", {"p50": 0.5, "p95": 0.95})
+    out = stats.beside(f.groupBy("panel").agg(F.count("*").alias("n"), F.max("x").alias("most")), q, ["panel"])
+    return out.select("panel", "n", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "most")])
 
 
 @query("""with f as (select coalesce(split, '(none)') p, t_max - t_ambient x from frame_report where isfinite(t_max) and isfinite(t_ambient))
@@ -222,13 +228,19 @@ def grouping_sets_distribution(spark: SparkSession, sf: str) -> DataFrame:
 @query("with m as (select quantile_cont(value, 0.5) med, quantile_cont(value, 0.25) q1, quantile_cont(value, 0.75) q3, min(value) lo, max(value) hi, count(*) n from (select *, count_if(value >= 400) over () g from events) where g < 8 or value >= 400) select trunc(med)::int med, round(q1, 6) q1, round(q3, 6) q3, lo, hi, n from m")
 def calibration_summary(spark: SparkSession, sf: str) -> DataFrame:
     g = stats.quality_gated(table(spark, sf, "events").select("value"), "value", 400, 8)
-    return g.agg(F.percentile("value", 0.5).cast("int").alias("med"), F.round(F.percentile("value", 0.25), 6).alias("q1"), F.round(F.percentile("value", 0.75), 6).alias("q3"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n"))
+    g = g.withColumn("all", F.lit(1))
+    out = stats.beside(g.groupBy("all").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n")), quantiles(g, ["all"], "value", {"med": 0.5, "q1": 0.25, "q3": 0.75}), ["all"])
+    return out.select(F.col("med").cast("int").alias("med"), F.round("q1", 6).alias("q1"), F.round("q3", 6).alias("q3"), "lo", "hi", "n")
 
 
 @query("select o_custkey, arg_max(o_orderkey, (o_totalprice, -o_orderkey)) as best, max(o_totalprice) as score, list_sort(list(o_totalprice))[(count(*) // 2 + 1)::int] as upper_median from orders group by 1")
 def best_run(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
-    return o.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", -F.col("o_orderkey"))).alias("best"), F.max("o_totalprice").alias("score"), F.sort_array(F.collect_list("o_totalprice"))[F.floor(F.count("*") / 2).cast("int")].alias("upper_median"))
+    best = o.groupBy("o_custkey").agg(F.count("*").alias("n"), F.max_by("o_orderkey", F.struct("o_totalprice", -F.col("o_orderkey"))).alias("best"), F.max("o_totalprice").alias("score"))
+    # the upper median is the value at its place in the order, which no task needs a whole customer for
+    placed = windows.numbered(o.select("o_custkey", "o_totalprice", "o_orderkey"), ["o_custkey"], [F.col("o_totalprice"), F.col("o_orderkey")], "_i")
+    upper = placed.join(best.select("o_custkey", "n"), "o_custkey").where(F.col("_i") == F.floor(F.col("n") / 2)).select("o_custkey", F.col("o_totalprice").alias("upper_median"))
+    return best.join(upper, "o_custkey").select("o_custkey", "best", "score", "upper_median")
 
 
 @query(f"""with {_READ}, r as (select stem, list_sort(list_distinct(list(case when conf < 0.5 then 'low confidence' end) || list(case when cls in (21, 22) then 'alike classes' end))) x, count(*) n, max(conf) c, list_sort(list_distinct(list(cls::varchar))) k from d group by stem)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from calorgrid.functions.keys import panel_key
@@ -65,17 +65,15 @@ def artefact_differences(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("select source, count(*) n, count(text) texts, count_if(text is null or trim(text) = '') empty, count(distinct sha256(text)) contents, round(count(*) * 100.0 / sum(count(*)) over (), 6) share from documents group by source")
 def source_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
-    total = d.count()
-    return d.groupBy("source").agg(F.count("*").alias("n"), F.count("text").alias("texts"), F.count_if(F.col("text").isNull() | (F.trim("text") == "")).alias("empty"), F.countDistinct(F.sha2("text", 256)).alias("contents"), F.round(F.count("*") * 100.0 / F.lit(max(total, 1)), 6).alias("share"))
+    d = table(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("n"), F.count("text").alias("texts"), F.count_if(F.col("text").isNull() | (F.trim("text") == "")).alias("empty"), F.countDistinct(F.sha2("text", 256)).alias("contents"))
+    return d.join(d.agg(F.sum("n").alias("_n")), F.lit(True)).withColumn("share", F.round(F.col("n") * 100.0 / F.col("_n"), 6)).drop("_n")
 
 
 @query("select cls, count(*) boxes, count(distinct stem) frames, round(count(*) / count(distinct stem), 6) per_frame, round(count(*) * 100.0 / sum(count(*)) over (), 6) share, round(max(count(*)) over () / count(*), 6) imbalance from frame_dets group by cls")
 def class_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    n = table(spark, sf, "frame_dets").groupBy("cls").agg(F.count("*").alias("boxes"), F.countDistinct("stem").alias("frames")).cache()
-    top = n.agg(F.sum("boxes").alias("s"), F.max("boxes").alias("m")).first()
-    b = F.col("boxes")
-    return n.select("cls", "boxes", "frames", F.round(b / F.col("frames"), 6).alias("per_frame"), F.round(b * 100.0 / F.lit(top["s"] or 1), 6).alias("share"), F.round(F.lit(top["m"] or 1) / b, 6).alias("imbalance"))
+    n = table(spark, sf, "frame_dets").groupBy("cls").agg(F.count("*").alias("boxes"), F.countDistinct("stem").alias("frames"))
+    every, b = Window.partitionBy(F.lit("all")), F.col("boxes")  # of one row a class
+    return n.select("cls", "boxes", "frames", F.round(b / F.col("frames"), 6).alias("per_frame"), F.round(b * 100.0 / F.sum("boxes").over(every), 6).alias("share"), F.round(F.max("boxes").over(every) / b, 6).alias("imbalance"))
 
 
 @query("select l_returnflag, count_if(l_linestatus = 'F') n_F, count_if(l_linestatus = 'O') n_O, count(*) total from lineitem group by 1")
@@ -123,12 +121,25 @@ def leave_one_out(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.leave_one_out(d, "source", folds).select("doc_id", "fold", "split")
 
 
-@query()
+_BALANCED = """with recursive d as (select coalesce(regexp_extract(upper(translate(panel, 'Ｐｐ－０１２３４５６７８９', 'PP-0123456789')), '^\\s*P[-_ ]*0*([0-9]+)', 1), '') as k, coalesce(panel, '?') as raw, coalesce(stem, '(none)') as f, cls from frame_dets),
+p as (select case when k <> '' then 'P' || k else raw end as s, f, cls from d), c as (select cls, count(*) as n, row_number() over (order by cls nulls first) as i from p group by cls),
+sz as (select s, count(distinct f) as n from p group by s), v as (select s, list(coalesce(m, 0) order by i) as v from (select a.s, c.i, (select count(*) from p where p.s = a.s and p.cls is not distinct from c.cls) as m from sz a, c) group by s),
+t as (select (select sum(n) from sz) as n, greatest(1, floor(0.2 * (select sum(n) from sz))) as target, (select list(n order by i) from c) as total),
+g as (select 0 as step, []::varchar[] as held, 0::hugeint as n, (select list_transform(total, lambda x: 0::bigint) from t) as inside
+  union all select step + 1, list_append(held, b.s), b.n, b.inside from (select g.step, any_value(g.held) as held, arg_min({'s': sz.s, 'n': g.n + sz.n, 'inside': list_transform(list_zip(g.inside, v.v), lambda x: x[1] + x[2])},
+    (round(list_sum(list_transform(list_zip(g.inside, v.v, t.total), lambda x: x[3] * abs((x[1] + x[2]) / x[3] - 0.2))) + 2 * abs(g.n + sz.n - t.target), 9), sz.s)) as b
+    from g, t, sz join v using (s) where g.n < t.target and not list_contains(g.held, sz.s) and g.n + sz.n < t.n group by g.step)),
+h as (select held from g order by step desc limit 1)
+select case when list_contains(held, s) then 'val' else 'train' end as split, cls, count(*) as n from p, h group by all"""
+
+
+@query(_BALANCED)
 def balanced_split(spark: SparkSession, sf: str) -> DataFrame:
-    """A panel is one session however it is written; what names none stays as it is."""
-    d = table(spark, sf, "frame_dets").select("det_id", "cls", F.coalesce(panel_key(F.col("panel")), "panel", F.lit("?")).alias("panel"))
-    held = sampling.balanced_sessions(d, "panel", "cls")
-    return d.withColumn("split", F.when(F.col("panel").isin(held), "val").otherwise("train")).groupBy("split", "cls").agg(F.count("*").alias("n"))
+    """A panel is one session however it is written; what names none stays as it is. Size is counted in frames, or in
+    detections where they name none."""
+    d = table(spark, sf, "frame_dets")
+    d = d.select("det_id", F.col("stem" if "stem" in d.columns else "det_id").alias("stem"), "cls", F.coalesce(panel_key(F.col("panel")), "panel", F.lit("?")).alias("panel"))
+    return sampling.balanced_validation(d, "panel", "cls", "stem").groupBy("split", "cls").agg(F.count("*").alias("n"))
 
 
 @query("select frame_id, verdict from frame_report where verdict = 'critical' union all (select frame_id, verdict from frame_report where verdict is null or verdict <> 'critical' order by md5(frame_id::varchar || '|0'), frame_id limit 100)")
