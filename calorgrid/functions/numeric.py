@@ -15,6 +15,11 @@ def finite(c: Column) -> Column:
     return F.when(F.abs(c) < F.lit(float("inf")), c + F.lit(0.0))
 
 
+def filled(c: Column, instead: Column) -> Column:
+    """The value, or ``instead`` where it is null, NaN or infinite."""
+    return F.coalesce(finite(c), instead)
+
+
 def to_byte(x: Column, lo: Column, hi: Column) -> Column:
     """Scaled to 0..255, clipped, truncated."""
     return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), (x - lo) / F.greatest(hi - lo, F.lit(1e-6)) * 255))).cast("int")

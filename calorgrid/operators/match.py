@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calorgrid.functions.geometry import iou
+from calorgrid.operators.exact import quantiles
 
 BOX = ("x1", "y1", "x2", "y2")
 
@@ -61,28 +62,43 @@ def match_scores(reference: DataFrame, other: DataFrame, matches: DataFrame, fra
     return total.select(cls, "tp", (F.col("n_hyp") - F.col("tp")).alias("fp"), (F.col("n_ref") - F.col("tp")).alias("fn"), p.alias("precision"), r.alias("recall"), (2 * p * r / F.greatest(p + r, F.lit(1e-9))).alias("f_score"), (F.col("n_hyp") + F.col("n_ref") - 2 * F.col("tp")).alias("touch"))
 
 
+def prediction_scores(predicted: DataFrame, truth: DataFrame, matches: DataFrame, frame: str, idx: str, cls: str = "cls", weight: float = 0.3) -> DataFrame:
+    """``cls, tp, fp, fn, saving_pct, cost, median_iou`` per class and, under null, of all, from matches that predictions drove
+    (``ref_idx`` is the prediction's). Saving compares what a person has to touch with drawing all boxes anew; cost counts a
+    false box ``weight``, a missed one 1; the median overlap of a class without matches is null."""
+    hit = matches.join(predicted.select(frame, F.col(idx).alias("ref_idx"), cls), [frame, "ref_idx"]).select(cls, "iou")
+    tall = lambda df: df.select(F.explode(F.array(cls, F.lit(None).cast(dict(predicted.dtypes)[cls]))).alias(cls), *[c for c in df.columns if c == "iou"])
+    n = lambda df, what: tall(df.select(cls)).select(cls, F.lit(what).alias("what"))
+    each = n(hit, "tp").unionByName(n(predicted, "np")).unionByName(n(truth, "nt")).groupBy(cls).agg(*[F.count_if(F.col("what") == w).alias(w) for w in ("tp", "np", "nt")])
+    middle = quantiles(tall(hit), [cls], "iou", {"median_iou": 0.5})
+    both = each.alias("a").join(middle.alias("b"), F.col(f"a.{cls}").eqNullSafe(F.col(f"b.{cls}")), "left")
+    fp, fn = F.col("np") - F.col("tp"), F.col("nt") - F.col("tp")
+    return both.select(F.col(f"a.{cls}").alias(cls), "tp", fp.alias("fp"), fn.alias("fn"), ((1 - (fp + fn) / F.greatest(F.col("nt"), F.lit(1))) * 100).alias("saving_pct"), (weight * fp + fn).alias("cost"), "median_iou")
+
+
 def merge_split_boxes(boxes: DataFrame, frame: str, idx: str, mergeable: Sequence[int], least_x: float = 0.6, most_gap: float = 40, cls: str = "cls") -> DataFrame:
     """Boxes with vertically split parts joined until nothing changes: same mergeable class, horizontal overlap of at least
-    ``least_x`` of the narrower one, gap up to ``most_gap``. A merged box keeps the first index. Order within a frame
-    matters, so frames (a few boxes each) are folded whole."""
+    ``least_x`` of the narrower one, gap up to ``most_gap``. The first such pair becomes one box, which keeps the first index
+    and goes to the end of the list, and so on. Order within a frame matters, so frames (a few boxes each) are folded
+    whole; pairs that were found apart aren't looked at again."""
     cols = [frame, idx, cls, *BOX]
     kinds = dict(boxes.dtypes)
 
+    def joins(a: list, b: list) -> bool:
+        wide = (min(a[5], b[5]) - max(a[3], b[3])) / max(min(a[5] - a[3], b[5] - b[3]), 1e-9)
+        return a[2] == b[2] and wide >= least_x and max(a[4], b[4]) - min(a[6], b[6]) <= most_gap
+
     def fold(todo: list[list]) -> list[list]:
-        i = 0
-        while i < len(todo):
-            a = todo[i]
-            for j in range(i + 1, len(todo)):
-                b = todo[j]
-                narrow = max(min(a[5] - a[3], b[5] - b[3]), 1e-9)
-                wide = (min(a[5], b[5]) - max(a[3], b[3])) / narrow
-                if a[2] == b[2] and wide >= least_x and max(a[4], b[4]) - min(a[6], b[6]) <= most_gap:
-                    todo[i] = [*a[:3], min(a[3], b[3]), min(a[4], b[4]), max(a[5], b[5]), max(a[6], b[6])]
-                    del todo[j]
-                    i = -1  # from the first pair again
-                    break
-            i += 1
-        return todo
+        apart = 0  # boxes before it join none but, perhaps, the last
+        while True:
+            last = len(todo) - 1
+            pair = next(((i, j) for i in range(last) for j in ((last,) if i < apart else range(i + 1, last + 1)) if joins(todo[i], todo[j])), None)
+            if pair is None:
+                return todo
+            (i, j), a, b = pair, todo[pair[0]], todo[pair[1]]
+            del todo[j], todo[i]
+            todo.append([*a[:3], min(a[3], b[3]), min(a[4], b[4]), max(a[5], b[5]), max(a[6], b[6])])
+            apart = i
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[list] = []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -103,8 +103,9 @@ def edges(a: np.ndarray) -> np.ndarray:
     """Response of the 3x3 edge kernel (8 in the middle, -1 around), rim of two pixels zeroed."""
     p = np.pad(a.astype(float), 1, mode="edge")
     s = np.lib.stride_tricks.sliding_window_view(p, (3, 3)).sum(axis=(2, 3))
-    out = np.clip(9 * a - s, 0, 255)
-    out[:2], out[-2:], out[:, :2], out[:, -2:] = 0, 0, 0, 0
+    out = np.zeros(a.shape)
+    inner = (slice(2, -2), slice(2, -2))
+    out[inner] = np.clip(9 * a - s, 0, 255)[inner]
     return out
 
 
@@ -142,6 +143,31 @@ def best_scale(template: np.ndarray, mask: np.ndarray, image: np.ndarray, scales
     return best
 
 
+def registered(pairs: DataFrame, ident: str, template: str, template_size: tuple[int, int], image: str, image_size: tuple[int, int], scales: Sequence[float], rectangles: Sequence[tuple] = ()) -> DataFrame:
+    """``ident, ncc, scale, x, y``: where, and at which scale, the template of each row fits its image best (see ``best_scale``).
+
+    Sizes are (width, height) of row-major arrays; template pixels under ``rectangles`` don't count. A row with an array of
+    another size, or null, has nulls."""
+    kind = dict(pairs.dtypes)[ident]
+    (tw, th), (iw, ih) = template_size, image_size
+    mask = np.ones((th, tw), dtype=bool)
+    for a, b, c, d in rectangles:
+        mask[b:d, a:c] = False
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for i, t, im in zip(pdf[ident], pdf[template], pdf[image], strict=True):
+                if t is None or im is None or len(t) != tw * th or len(im) != iw * ih:
+                    out.append((i, None, None, None, None))
+                    continue
+                ncc, scale, x, y = best_scale(np.asarray(t, dtype=float).reshape(th, tw), mask, np.asarray(im, dtype=float).reshape(ih, iw), np.asarray(scales))
+                out.append((i, ncc, scale, x, y))
+            yield pd.DataFrame(out, columns=[ident, "ncc", "scale", "x", "y"]).astype({"x": "Int32", "y": "Int32"})
+
+    return pairs.select(ident, template, image).mapInPandas(run, f"`{ident}` {kind}, ncc double, scale double, x int, y int")
+
+
 def frame_blobs(frames: DataFrame, ident: str, raster: str, width: int, height: int, rise: float, least: int, neighbours: int = 4, masked: bool = False) -> DataFrame:
     """``ident, blob, x1, y1, x2, y2, px, peak, mean, rise`` of each hot region of each frame (row-major array of height x width).
 

@@ -116,6 +116,32 @@ def balanced_validation(rows: DataFrame, session: str, cls: str, frame: str, rat
     return named.join(some, "_f", "left").withColumn("split", F.coalesce("split", F.lit("train"))).drop("_s", "_f")
 
 
+def _digits(c: Column, at: int) -> Column:
+    """Eight hexadecimal digits of a hash as a number."""
+    return F.conv(F.substring(c, at, 8), 16, 10).cast("long")
+
+
+def patches(rows: DataFrame, ident: str, n: int, width: int, height: int, least: int, most: int, hidden: Sequence[tuple] = (), seed: int = 0) -> DataFrame:
+    """``rows`` with ``patch, x, y, side``: ``n`` square patches of each row's raster, side and place by a hash of id, number and
+    seed; those that touch a rectangle of ``hidden`` (x0, y0, x1, y1) are left out."""
+    h = F.md5(F.concat_ws("|", F.col(ident).cast("string"), F.col("patch").cast("string"), F.lit(str(seed))))
+    each = rows.withColumn("patch", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("_h", h).withColumn("side", (least + _digits(F.col("_h"), 1) % (most - least + 1)).cast("int"))
+    placed = each.withColumn("x", (_digits(F.col("_h"), 9) % (width + 1 - F.col("side"))).cast("int")).withColumn("y", (_digits(F.col("_h"), 17) % (height + 1 - F.col("side"))).cast("int"))
+    whole = F.lit(True)
+    for a, b, c, d in hidden:
+        whole &= ~((F.col("x") < c) & (F.col("x") + F.col("side") > a) & (F.col("y") < d) & (F.col("y") + F.col("side") > b))
+    return placed.where(whole).drop("_h")
+
+
+def synthetic_labels(frames: DataFrame, stem: str, ident: str, classes: int, seed: int = 0) -> DataFrame:
+    """``stem, box_idx, cls, cx, cy, w, h``: two to four boxes a frame by hashes of its id, as input of trial runs."""
+    name = lambda *parts: F.md5(F.concat_ws("|", F.col(ident).cast("string"), *parts, F.lit(str(seed))))
+    n = 2 + _digits(name(F.lit("n")), 1) % 3
+    each = frames.withColumn("box_idx", F.explode(F.sequence(F.lit(0), F.lit(3)))).where(F.col("box_idx") < n).withColumn("_h", name(F.col("box_idx").cast("string")))
+    at = lambda k: 0.2 + _digits(F.col("_h"), k) % 600 / 1000.0
+    return each.select(stem, "box_idx", (_digits(F.col("_h"), 1) % classes).cast("int").alias("cls"), at(9).alias("cx"), at(17).alias("cy"), F.lit(0.1).alias("w"), F.lit(0.1).alias("h"))
+
+
 def jittered(rows: DataFrame, columns: Sequence[str], key: str, amount: float, seed: int = 0) -> DataFrame:
     """Columns moved by up to ``amount``, evenly, by a hash of key and seed: alike however the rows are parted."""
     return rows.withColumns({c: F.col(c) + jitter(c, key, seed) * amount for c in columns})
