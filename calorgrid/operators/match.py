@@ -78,7 +78,7 @@ def prediction_scores(predicted: DataFrame, truth: DataFrame, matches: DataFrame
 
 def merge_split_boxes(boxes: DataFrame, frame: str, idx: str, mergeable: Sequence[int], least_x: float = 0.6, most_gap: float = 40, cls: str = "cls") -> DataFrame:
     """Boxes with vertically split parts joined until nothing changes: same mergeable class, horizontal overlap of at least
-    ``least_x`` of the narrower one, gap up to ``most_gap``. The first such pair becomes one box, which keeps the first index
+    ``least_x`` of the narrower one, gap up to ``most_gap``. The first such pair becomes one box, which keeps the smaller index
     and goes to the end of the list, and so on. Order within a frame matters, so frames (a few boxes each) are folded
     whole; pairs that were found apart aren't looked at again."""
     cols = [frame, idx, cls, *BOX]
@@ -97,7 +97,7 @@ def merge_split_boxes(boxes: DataFrame, frame: str, idx: str, mergeable: Sequenc
                 return todo
             (i, j), a, b = pair, todo[pair[0]], todo[pair[1]]
             del todo[j], todo[i]
-            todo.append([*a[:3], min(a[3], b[3]), min(a[4], b[4]), max(a[5], b[5]), max(a[6], b[6])])
+            todo.append([a[0], min(a[1], b[1]), a[2], min(a[3], b[3]), min(a[4], b[4]), max(a[5], b[5]), max(a[6], b[6])])
             apart = i
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

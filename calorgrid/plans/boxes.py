@@ -14,6 +14,7 @@ from calorgrid.operators import match, sampling
 from calorgrid.operators.exact import quantiles
 from calorgrid.operators.rowparse import parse_lines
 from calorgrid.operators.stats import beside
+from calorgrid.plans.problems import LINES_SQL
 from calorgrid.plans.registry import Registry
 from calorgrid.sources.labels import boxes_of_text
 from calorgrid.sources.sinks import annotation_xml, label_texts
@@ -162,7 +163,8 @@ def label_line_counts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "label_lines").groupBy("feed").agg(F.count("*").alias("n"), F.count_if(F.col("raw").isNull() | (F.trim("raw") == "")).alias("blank"))
 
 
-@query()
+@query(f"""with {LINES_SQL} select file_name, count(*) as records, count(*) filter (reason is null) as boxes, count(*) filter (reason = 'quoting') as quoting, count(*) filter (reason = 'columns') as columns, count(*) filter (reason = 'value') as value,
+  count(*) filter (reason is null and cls in (23, 24, 25)) as discouraged from r join label_lines using (line_id) group by file_name""")
 def label_ingest_counters(spark: SparkSession, sf: str) -> DataFrame:
     """Per file: records, loaded boxes, bad ones by reason, discouraged classes."""
     lines = table(spark, sf, "label_lines")
@@ -176,7 +178,8 @@ def boxes_per_frame(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "frame_dets").where("stem is not null").groupBy("stem").agg(F.count("*").alias("boxes")).groupBy("boxes").agg(F.count("*").alias("frames"))
 
 
-@query()
+@query(f"""with {_BOX} select stem, '<image name="' || stem || '" width="320" height="240">' || string_agg('<box label="class ' || cls || '" occluded="0" source="auto" xtl="' || printf('%.2f', least(320.0, greatest(0.0, x1))) || '" ytl="' || printf('%.2f', least(240.0, greatest(0.0, y1))) ||
+  '" xbr="' || printf('%.2f', least(320.0, greatest(0.0, x2))) || '" ybr="' || printf('%.2f', least(240.0, greatest(0.0, y2))) || '" z_order="0"></box>', '' order by det_id) || '</image>' as xml from b group by stem""")
 def annotation_elements(spark: SparkSession, sf: str) -> DataFrame:
     b = boxes(spark, sf).withColumn("label", F.concat(F.lit("class "), F.col("cls").cast("string")))
     return annotation_xml(b, "stem", "det_id", "label", 320, 240)
@@ -209,3 +212,6 @@ def class_whitelist(spark: SparkSession, sf: str, named: Callable[[Column], Colu
 
 
 query.queries["class_whitelist_whole"] = partial(class_whitelist, named=panel_key)
+query.sql["class_whitelist_whole"] = """with p as (select distinct cls, 'P' || regexp_extract(x, '^\\s*P0*([0-9]+)', 1) panel from (select cls, unnest(string_split(panels, ',')) x from class_dim)),
+f as (select det_id, cls, 'P' || nullif(regexp_extract(upper(translate(panel, 'Ｐｐ－０１２３４５６７８９', 'PP-0123456789')), '^\\s*P[-_ ]*0*([0-9]+)', 1), '') panel from frame_dets)
+select det_id, p.cls is not null as allowed from f left join p using (cls, panel)"""

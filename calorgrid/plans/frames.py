@@ -259,8 +259,20 @@ def json_reports(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("stem", F.to_json(F.struct("stem", F.size("dets").alias("n_det"), "dets"), {"ignoreNullFields": "false"}).alias("report"))
 
 
+query.sql["json_reports"] = """with d as (select stem, det_id, cls, conf, case when isfinite(t_p99) then t_p99 + 0.0 end t_p99, case when isfinite(t_max) then t_max + 0.0 end t_max from frame_dets)
+select stem, to_json({'stem': stem, 'n_det': count(*), 'dets': list({'det_id': det_id, 'cls': cls, 'conf': conf, 't_p99': t_p99, 't_max': t_max} order by det_id)})::varchar as report from d group by stem"""
+
 # The SQL of these asks for t_max and dt_amb though they don't read them, or only where ambient judges; it stays as it is,
 # and the whole forms stand beside them.
 for _query in (component_judgement, detection_verdicts, class_profile, phase_spread, macro_spread):
     query.queries[f"{_query.__name__}_whole"] = partial(_query, need=("t_p99",))
 query.queries["review_reasons_whole"] = partial(review_reasons, need=())
+_ANY = "select det_id, stem, cls, conf, case when isfinite(t_p99) then t_p99 end t_p99, case when isfinite(t_max) then t_max end t_max, case when isfinite(dt_amb) then dt_amb end dt_amb, n_px, captured_at from frame_dets"
+_WHOLE = f"d as (select * from ({_ANY}) where t_p99 is not null)"
+for _name in ("class_profile", "phase_spread", "macro_spread"):
+    query.sql[f"{_name}_whole"] = query.sql[_name].replace(_READ, _WHOLE)
+query.sql["review_reasons_whole"] = query.sql["review_reasons"].replace(_READ, f"d as ({_ANY})").replace("c as max_conf", "coalesce(c, 0) as max_conf")
+#: where ambient must judge and isn't known there is no grade
+_UNKNOWN = _JUDGED.replace(_READ, _WHOLE).replace("case when x >= c then 4", "case when x is null then 0 when x >= c then 4")
+query.sql["detection_verdicts_whole"] = query.sql["detection_verdicts"].replace(_JUDGED, _UNKNOWN)
+query.sql["component_judgement_whole"] = query.sql["component_judgement"].replace(_JUDGED, _UNKNOWN).replace("else ['normal', 'caution', 'abnormal', 'critical'][w.v] end", "else coalesce(['normal', 'caution', 'abnormal', 'critical'][w.v], 'none') end")

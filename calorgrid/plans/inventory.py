@@ -161,7 +161,12 @@ def standardised_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("vec_id", "i", F.round("z", 4).alias("z"))
 
 
-@query()
+@query("""with recursive e as (select vec_id, label, embedding::double[] v, row_number() over (partition by label order by vec_id) k from embeddings),
+g as (select label, 0::bigint k, []::struct(id bigint, v double[])[] held, null::bigint vec_id, null::bigint leader from (select distinct label from embeddings)
+  union all select label, k, case when near is null then list_append(held, {'id': vec_id, 'v': v}) else held end, vec_id, coalesce(near, vec_id) from (
+    select e.label, e.k, g.held, e.vec_id, list_transform(e.v, lambda x: x / sqrt(list_dot_product(e.v, e.v))) v,
+      (list_filter(g.held, lambda l: list_dot_product(l.v, e.v) / sqrt(list_dot_product(e.v, e.v)) >= 0.3)[1]).id near from g join e on e.label = g.label and e.k = g.k + 1))
+select vec_id, leader from g where vec_id is not null""")
 def leader_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.leaders(table(spark, sf, "embeddings"), "vec_id", "embedding", "label", 0.3)
 
@@ -177,7 +182,10 @@ def exact_duplicate_members(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.members(table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("digest")), "doc_id", "digest")
 
 
-@query()
+@query("""with e as (select vec_id, embedding::double[] v from embeddings), c as (select vec_id, list_sum(list_transform(range(64), lambda i: case when v[i + 1] > list_avg(v) then 1::hugeint << i::int else 0::hugeint end)) c from e),
+k as (select *, min(vec_id) over (partition by c) id from c), r as (select distinct c, id from k)
+select 'member' as kind, id as id_a, vec_id as id_b, 0 as distance from k
+union all select 'near', a.id, b.id, bit_count(xor(a.c, b.c))::int from r a join r b on a.id < b.id where bit_count(xor(a.c, b.c)) <= 7""")
 def perceptual_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     """``kind`` near: representatives (smallest ids) of two codes within 7 bits; member: each raster ``id_b`` with a code and
     the representative ``id_a`` of its code, itself where it is the first. Both together tell all links."""
@@ -201,18 +209,21 @@ def raster_components(spark: SparkSession, sf: str) -> DataFrame:
     return b.select("vec_id", "px", "x1", "y1", "x2", "y2", F.round("peak", 6).alias("peak"), F.round("mean", 6).alias("mean"))
 
 
-@query()
+@query("""with e as (select vec_id, i % 8 x, i // 8 y, embedding[i + 1]::double t from embeddings, range(64) r(i)), o(d) as (select unnest(range(-2, 3))),
+f as (select a.vec_id, a.x, a.y, median(b.t) m from e a, o dx, o dy, e b where b.vec_id = a.vec_id and b.x = greatest(0, least(7, a.x + dx.d)) and b.y = greatest(0, least(7, a.y + dy.d)) group by all)
+select e.vec_id, max(t) as raw, any_value(m) as filtered from e join (select vec_id, max(m) m from f group by 1) using (vec_id) group by e.vec_id""")
 def raster_filtered_maximum(spark: SparkSession, sf: str) -> DataFrame:
     """Maximum before and after the 5 x 5 median filter; their difference tells a one-pixel spike."""
     e = raster.mapped(table(spark, sf, "embeddings"), "embedding", 8, 8, raster.median_filter, "f")
     return e.select("vec_id", F.array_max("embedding").cast("double").alias("raw"), F.array_max("f").alias("filtered"))
 
 
-@query()
+@query("""with e as (select vec_id, i % 8 x, i // 8 y, embedding[i + 1]::double t from embeddings, range(64) r(i)), f as (select vec_id, (y // 2) * 4 + x // 2 as i, avg(t) t from e group by all),
+s as (select vec_id, avg(t) m, stddev_pop(t) d from f group by 1) select vec_id, i::int as i, round((t - m) / (d + 1e-6), 6) as z from f join s using (vec_id)""")
 def raster_descriptors(spark: SparkSession, sf: str) -> DataFrame:
-    """Area-averaged 4 x 4 rasters, standardised, as a descriptor bank."""
+    """Area-averaged 4 x 4 rasters, standardised, value by value: what ``descriptor_bank`` keeps as arrays."""
     e = raster.mapped(table(spark, sf, "embeddings"), "embedding", 8, 8, lambda a: raster.area_resize(a, 4, 4), "small")
-    return e.select("vec_id", standardised(F.col("small")).alias("descriptor"))
+    return e.select("vec_id", F.posexplode(standardised(F.col("small"))).alias("i", "z")).select("vec_id", "i", F.round("z", 6).alias("z"))
 
 
 @query()

@@ -53,7 +53,7 @@ CENSUS_SQL = """c as (select census_id, t_p99,
             regexp_replace(nfc_normalize(anomaly_census.cls), '[\\s\\x{00a0}\\x{3000}]', '', 'g')), anomaly_census.cls) as cls
   from anomaly_census)"""
 
-_P6 = """q as (select line_id, feed, coalesce(raw, '') as raw from label_lines),
+LINES_SQL = """q as (select line_id, feed, coalesce(raw, '') as raw from label_lines),
 f as (select *, case when feed = 'csv' then
     case when not regexp_full_match(raw, '(\\s*"([^"]|"")*"\\s*|[^",]*)(,(\\s*"([^"]|"")*"\\s*|[^",]*))*') then 'quoting'
          when length(regexp_replace(raw, '"([^"]|"")*"', '', 'g')) - length(replace(regexp_replace(raw, '"([^"]|"")*"', '', 'g'), ',', '')) <> 6 then 'columns' end
@@ -83,6 +83,6 @@ r2 as (select det_id, count(*) over (partition by spot_id, i) n from r1)
 select det_id, 'impossible' as kind from b where bad
 union all select det_id, 'spike' from ok join s using (spot_id) where (abs(t_max - m1) >= 8 - 1e-9 and abs(t_max - m1) >= 12 * s1 - 1e-9) or (abs(t_p99 - m2) >= 8 - 1e-9 and abs(t_p99 - m2) >= 12 * s2 - 1e-9)
 union all select det_id, 'stuck' from r2 where n >= 6""",
-    "p6_found": f"with {_P6} select line_id, reason from r where reason is not null",
-    "p6_parsed": f"with {_P6} select line_id, case when reason is null then cls::int end as cls, case when reason is null then z[1] end as cx, case when reason is null then z[2] end as cy, case when reason is null then z[3] end as bw, case when reason is null then z[4] end as bh, reason from r",
+    "p6_found": f"with {LINES_SQL} select line_id, reason from r where reason is not null",
+    "p6_parsed": f"with {LINES_SQL} select line_id, case when reason is null then cls::int end as cls, case when reason is null then z[1] end as cx, case when reason is null then z[2] end as cy, case when reason is null then z[3] end as bw, case when reason is null then z[4] end as bh, reason from r",
 }

@@ -136,6 +136,10 @@ select cls, tp::bigint as tp, (nh - tp)::bigint as fp, (nr - tp)::bigint as fn,
   2 * (tp / greatest(nh, 1)) * (tp / greatest(nr, 1)) / greatest(tp / greatest(nh, 1) + tp / greatest(nr, 1), 1e-9) as f_score, (nh + nr - 2 * tp)::bigint as touch from t"""
 
 
+REGISTER = {"greedy_match": GREEDY_MATCH_SQL, "greedy_match_scores": GREEDY_SCORES_SQL}  # queries of the boxes module
+query.sql.update(REGISTER)
+
+
 def _two(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     b = boxes(spark, sf)
     return b.where("annotator = 0"), b.where("annotator = 1")

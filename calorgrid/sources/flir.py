@@ -11,11 +11,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 _META = "model string, serial string, lens string, fov float, emissivity float, distance float, refl_temp float, r1 float, b float, f float, o int, r2 float, real2ir float, offset_x short, offset_y short"
-SCHEMA = f"path string, error string, meta struct<{_META.replace(' ', ': ').replace(',: ', ', ')}>, height int, width int, temp array<float>"
+SCHEMA = f"path string, error string, meta struct<{_META.replace(' ', ': ').replace(',: ', ', ')}>, height int, width int, temp array<float>, visual binary"
 #: fixed values: byte offsets of the camera-parameter record, little-endian
 _FLOATS = {"emissivity": 0x20, "distance": 0x24, "refl_temp": 0x28, "r1": 0x58, "b": 0x5C, "f": 0x60, "fov": 0x1B4, "r2": 0x30C}
 _TEXTS = {"model": (0xD4, 32), "serial": (0x104, 16), "lens": (0x170, 32)}
-RAW, CAMERA, PIP = 1, 32, 42
+RAW, EMBEDDED, CAMERA, PIP = 1, 14, 32, 42
 
 
 def segments(blob: bytes) -> bytes:
@@ -36,6 +36,8 @@ def segments(blob: bytes) -> bytes:
 
 def records(fff: bytes) -> dict[int, bytes]:
     """First record of each type in the directory; empty ones are passed over."""
+    if fff[:4] != b"FFF\0":
+        raise ValueError("not a record container")
     offset, count = struct.unpack_from(">II", fff, 0x18)
     out: dict[int, bytes] = {}
     for k in range(count):
@@ -75,30 +77,81 @@ def png16(blob: bytes) -> np.ndarray:
     width, height = head[:2]
     raw = np.frombuffer(zlib.decompress(data), np.uint8).reshape(height, 1 + 2 * width)
     out = np.zeros((height, 2 * width), dtype=np.uint8)
-    before = np.zeros(2 * width, dtype=int)
+    before = np.zeros(2 * width, dtype=np.uint8)
     for y in range(height):
-        kind, line = raw[y, 0], raw[y, 1:].astype(int)
+        kind, line = int(raw[y, 0]), raw[y, 1:]
         if kind == 0:
-            now = line
+            before = line
+        elif kind == 1:  # sums along each of the two bytes of a sample
+            before = np.cumsum(line.reshape(width, 2), axis=0, dtype=np.uint8).ravel()
         elif kind == 2:
-            now = line + before
+            before = line + before
         else:
-            now = np.zeros(2 * width, dtype=int)
-            for x in range(2 * width):
-                a, b, c = (now[x - 2] if x > 1 else 0), before[x], (before[x - 2] if x > 1 else 0)
-                if kind == 1:
-                    guess = a
-                elif kind == 3:
-                    guess = (a + b) // 2
-                else:
-                    pa, pb, pc = abs(b - c), abs(a - c), abs(a + b - 2 * c)
-                    guess = a if pa <= pb and pa <= pc else b if pb <= pc else c
-                now[x] = (line[x] + guess) & 255
-        before = now & 255
+            before = np.array(_along(kind, line.tolist(), before.tolist()), dtype=np.uint8)
         out[y] = before
     return out.reshape(height, width, 2).astype(np.uint16) @ np.array([256, 1], dtype=np.uint16)
 
 
+def _along(kind: int, line: list[int], above: list[int]) -> list[int]:
+    """Bytes of a row whose guesses need its own earlier bytes: the mean of left and above, or the nearest neighbour."""
+    now: list[int] = [0, 0]  # two bytes to the left of the row
+    above = [0, 0, *above]
+    for x, v in enumerate(line):
+        a, b, c = now[x], above[x + 2], above[x]
+        if kind == 3:
+            guess = (a + b) >> 1
+        else:
+            pa, pb, pc = abs(b - c), abs(a - c), abs(a + b - 2 * c)
+            guess = a if pa <= pb and pa <= pc else b if pb <= pc else c
+        now.append((v + guess) & 255)
+    return now[2:]
+
+
+def tiff16(blob: bytes) -> np.ndarray:
+    """Samples of the first image of a grey 16-bit TIFF: whole, deflated or byte-run strips, with or without differences."""
+    order = {b"II*\0": "<", b"MM\0*": ">"}.get(blob[:4])
+    if order is None:
+        raise ValueError("not a TIFF")
+    at, = struct.unpack_from(order + "I", blob, 4)
+    tags: dict[int, list[int]] = {}
+    for k in range(struct.unpack_from(order + "H", blob, at)[0]):
+        tag, kind, n = struct.unpack_from(order + "HHI", blob, at + 2 + 12 * k)
+        form = {1: "B", 3: "H", 4: "I"}.get(kind)
+        if form is None:
+            continue
+        size = n * struct.calcsize(form)
+        where = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "I", blob, at + 10 + 12 * k)[0]
+        tags[tag] = list(struct.unpack_from(f"{order}{n}{form}", blob, where))
+    one = lambda tag, default: tags.get(tag, [default])[0]
+    width, height, packed = one(256, 0), one(257, 0), one(259, 1)
+    if not width or not height or one(258, 1) != 16 or one(277, 1) != 1 or packed not in (1, 8, 32946, 32773) or 273 not in tags:
+        raise ValueError("not a grey 16-bit TIFF of a known packing")
+    counts = tags.get(279) or [len(blob) - tags[273][0]]
+    parts = [blob[o : o + n] for o, n in zip(tags[273], counts, strict=True)]
+    if packed == 32773:
+        parts = [_runs(p) for p in parts]
+    elif packed != 1:
+        parts = [zlib.decompress(p) for p in parts]
+    data = np.frombuffer(b"".join(parts)[: 2 * width * height], dtype=order + "u2")
+    if len(data) != width * height:
+        raise ValueError("the image is cut off")
+    image = data.reshape(height, width).astype(np.uint16)
+    return np.cumsum(image, axis=1, dtype=np.uint16) if one(317, 1) == 2 else image
+
+
+def _runs(packed: bytes) -> bytes:
+    out, at = bytearray(), 0
+    while at < len(packed):
+        n = packed[at]
+        if n < 128:
+            out += packed[at + 1 : at + 2 + n]
+            at += 2 + n
+        else:
+            out += packed[at + 1 : at + 2] * (257 - n if n > 128 else 0)
+            at += 2 if n > 128 else 1
+    return bytes(out)
+
+
 def celsius(raw: np.ndarray, meta: dict) -> np.ndarray:
     """Temperatures of raw values; NaN where the formula has none. Values stored in the other byte order are swapped."""
     if raw.max(initial=0) > 30000:
@@ -114,26 +167,46 @@ def centikelvin(raw: np.ndarray) -> np.ndarray:
     return raw.astype(float) / 100 - 273.15
 
 
-def decode(blob: bytes) -> tuple[dict, np.ndarray]:
-    """Camera parameters and temperatures of one picture."""
+def decode(blob: bytes) -> tuple[dict, np.ndarray, bytes | None]:
+    """Camera parameters, temperatures and the embedded visual picture (a JPEG, as it is; null without one)."""
     rec = records(segments(blob))
     meta = camera(rec[CAMERA], rec.get(PIP, b""))
     image = rec[RAW]
-    return meta, celsius(png16(image[image.index(b"\x89PNG") :]), meta)
+    inner = rec.get(EMBEDDED, b"")
+    start = inner.find(b"\xff\xd8\xff")
+    return meta, celsius(png16(image[image.index(b"\x89PNG") :]), meta), inner[start:] if start >= 0 else None
 
 
 def read_pictures(spark: SparkSession, path: str, pattern: str = "*.jpg") -> DataFrame:
-    """``path, error, meta, height, width, temp``: one row a file; a file that can't be read has its error and nulls."""
+    """``path, error, meta, height, width, temp, visual``: one row a file; a file that can't be read has its error and nulls."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, blob in zip(pdf["path"], pdf["content"], strict=True):
                 try:
-                    meta, temp = decode(bytes(blob))
-                    row = (name, None, meta, *temp.shape, temp.ravel())
+                    meta, temp, visual = decode(bytes(blob))
+                    row = (name, None, meta, *temp.shape, temp.ravel(), visual)
                 except (ValueError, KeyError, struct.error, zlib.error, TypeError) as e:
-                    row = (name, f"{type(e).__name__}: {e}", None, None, None, None)
-                yield pd.DataFrame([row], columns=["path", "error", "meta", "height", "width", "temp"]).astype({"height": "Int32", "width": "Int32"})
+                    row = (name, f"{type(e).__name__}: {e}", None, None, None, None, None)
+                # one picture a frame: ten thousand of them would not fit
+                yield pd.DataFrame([row], columns=["path", "error", "meta", "height", "width", "temp", "visual"]).astype({"height": "Int32", "width": "Int32"})
 
     return files.select("path", "content").mapInPandas(run, SCHEMA)
+
+
+def read_centikelvin(spark: SparkSession, path: str, pattern: str = "*.tif*") -> DataFrame:
+    """``path, error, height, width, temp`` of TIFF files whose samples are hundredths of a kelvin; as ``read_pictures``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, blob in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    temp = centikelvin(tiff16(bytes(blob))).astype(np.float32)
+                    row = (name, None, *temp.shape, temp.ravel())
+                except (ValueError, struct.error, zlib.error) as e:
+                    row = (name, f"{type(e).__name__}: {e}", None, None, None)
+                yield pd.DataFrame([row], columns=["path", "error", "height", "width", "temp"]).astype({"height": "Int32", "width": "Int32"})
+
+    return files.select("path", "content").mapInPandas(run, "path string, error string, height int, width int, temp array<float>")

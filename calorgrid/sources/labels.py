@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -52,20 +53,37 @@ def read_annotation_xml(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
-    """``archive, member, content`` of the members with that suffix in the zip files of a folder; a bad archive gives none."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    """``archive, member, content`` of the members with that suffix in the zip files of a folder; a bad archive gives none (see
+    ``read_members``, which tells it)."""
+    return read_members(spark, path, suffix).where("error is null and archive is not null").select("archive", "member", "content")
+
+
+def read_members(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+    """``archive, member, content, error``: texts with that suffix in a folder, as files (archive null) and in its zip files
+    alike. A bad archive has one row with its error; a member that can't be read has its own."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    name = F.lower(F.element_at(F.split("path", "/"), -1))
+    loose = files.where(F.endswith(name, F.lit(suffix)) & ~F.endswith(name, F.lit(".zip")))
+    plain = loose.select(F.lit(None).cast("string").alias("archive"), F.col("path").alias("member"), F.decode("content", "UTF-8").alias("content"), F.lit(None).cast("string").alias("error"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, blob in zip(pdf["path"], pdf["content"], strict=True):
+                rows = []
                 try:
                     with zipfile.ZipFile(io.BytesIO(bytes(blob))) as z:
-                        rows = [(name, m, z.read(m).decode("utf-8", "replace")) for m in z.namelist() if m.endswith(suffix)]
-                except zipfile.BadZipFile:
-                    rows = []
-                yield pd.DataFrame(rows, columns=["archive", "member", "content"])
+                        for m in z.namelist():
+                            if m.endswith(suffix):
+                                try:
+                                    rows.append((name, m, z.read(m).decode("utf-8", "replace"), None))
+                                except (zipfile.BadZipFile, NotImplementedError, RuntimeError, zlib.error) as e:
+                                    rows.append((name, m, None, f"{type(e).__name__}: {e}"))
+                except (zipfile.BadZipFile, ValueError) as e:
+                    rows.append((name, None, None, f"{type(e).__name__}: {e}"))
+                yield pd.DataFrame(rows, columns=["archive", "member", "content", "error"])
 
-    return files.select("path", "content").mapInPandas(run, "archive string, member string, content string")
+    zipped = files.where(F.endswith(name, F.lit(".zip"))).select("path", "content").mapInPandas(run, "archive string, member string, content string, error string")
+    return plain.unionByName(zipped)
 
 
 def read_index(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -74,6 +92,18 @@ def read_index(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def detect_source(index: DataFrame, field: str = "source", default: str = "embedded") -> str:
+    """The source that the first row of an index names; the default if it names none or there is no such column."""
+    row = index.select(field).first() if field in index.columns else None
+    return (row and row[0]) or default
+
+
+def read_review_form(spark: SparkSession, path: str, verdict: str = "verdict") -> DataFrame:
+    """Rows of a review form (CSV with header) whose verdict isn't blank."""
+    form = read_csv(spark, path)
+    return form.where(F.coalesce(F.trim(F.col(verdict)) != "", F.lit(False)))
+
+
 def read_csv(spark: SparkSession, path: str, comment: str | None = None) -> DataFrame:
     """A CSV file with header; a byte-order mark is no part of the first name, columns are strings."""
     reader = spark.read.option("header", True).option("encoding", "UTF-8")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from calorgrid.functions.grading import ladder
+from calorgrid.functions.numeric import dot
 
 
 def hot_sessions(stream: DataFrame, key: str, ts: str, value: str, hot: float, gap: str = "10 minutes", delay: str = "1 hour") -> DataFrame:
@@ -28,6 +29,16 @@ def graded(stream: DataFrame, rules: DataFrame, key: str, value: str, steps: tup
     return stream.join(rules, key, "left").withColumn("verdict", ladder(F.col(value), [F.col(s) for s in steps]))
 
 
+def matched(stream: DataFrame, bank: DataFrame, block: str, vector: str, least: float = 0.95) -> DataFrame:
+    """Rows of a stream with the entries (``ident, descriptor``) of a static bank in the same block whose descriptor is similar
+    (dot product over length) by ``least``: a stream-static join, the bank being read anew for each batch. Null and unlike
+    long vectors match nothing."""
+    b = bank.select(F.col(block).alias("_block"), F.col("ident"), F.col("descriptor"))
+    alike = dot(F.col(vector), F.col("descriptor")) / F.size(vector)
+    on = (F.col(block) == F.col("_block")) & (F.size(vector) == F.size("descriptor"))
+    return stream.join(b, on).withColumn("score", alike).where(F.col("score") >= least).drop("_block", "descriptor")
+
+
 def unseen(stream: DataFrame, key: str, ts: str, delay: str = "1 hour") -> DataFrame:
     """Rows whose key hasn't been seen within the watermark."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])

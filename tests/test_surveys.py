@@ -86,7 +86,7 @@ def merged_plainly(boxes, least=0.6, gap=40):
             a, b = now[i], now[j]
             wide = (min(a[4], b[4]) - max(a[2], b[2])) / max(min(a[4] - a[2], b[4] - b[2]), 1e-9)
             if a[1] == b[1] and wide >= least and max(a[3], b[3]) - min(a[5], b[5]) <= gap:
-                now = [x for k, x in enumerate(now) if k not in (i, j)] + [(a[0], a[1], min(a[2], b[2]), min(a[3], b[3]), max(a[4], b[4]), max(a[5], b[5]))]
+                now = [x for k, x in enumerate(now) if k not in (i, j)] + [(min(a[0], b[0]), a[1], min(a[2], b[2]), min(a[3], b[3]), max(a[4], b[4]), max(a[5], b[5]))]
                 break
         else:
             return now
