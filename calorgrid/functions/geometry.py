@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -30,20 +31,26 @@ def pixel_window(box: Sequence[Column], width: int, height: int, rounding: str =
     return [F.greatest(F.lit(0), x1), F.greatest(F.lit(0), y1), F.least(F.lit(width), x2), F.least(F.lit(height), y2)]
 
 
-def visual_to_ir(x: Column, y: Column) -> list[Column]:
-    return [x / SCALE - X0, y / SCALE - Y0]
+def calibration(text: str) -> tuple[float, float, float]:
+    """Scale and shift (x, y) of a calibration file (JSON with ``scale``, ``x0`` and ``y0``); what it lacks is as registered."""
+    given = json.loads(text)
+    return tuple(float(given.get(k, v)) for k, v in (("scale", SCALE), ("x0", X0), ("y0", Y0)))
 
 
-def ir_to_visual(x: Column, y: Column) -> list[Column]:
-    return [(x + X0) * SCALE, (y + Y0) * SCALE]
+def visual_to_ir(x: Column, y: Column, by: tuple[float, float, float] = (SCALE, X0, Y0)) -> list[Column]:
+    return [x / by[0] - by[1], y / by[0] - by[2]]
 
 
-def visual_box_to_ir(box: Sequence[Column], width: int = 320, height: int = 240, least_side: float = 2, least_share: float = 0.35) -> Column:
+def ir_to_visual(x: Column, y: Column, by: tuple[float, float, float] = (SCALE, X0, Y0)) -> list[Column]:
+    return [(x + by[1]) * by[0], (y + by[2]) * by[0]]
+
+
+def visual_box_to_ir(box: Sequence[Column], width: int = 320, height: int = 240, least_side: float = 2, least_share: float = 0.35, by: tuple[float, float, float] = (SCALE, X0, Y0)) -> Column:
     """Struct x1, y1, x2, y2 of a box moved to the infrared frame and clipped.
 
     Null if a side is then under ``least_side`` or less than ``least_share`` of the area is left."""
-    x1, y1 = visual_to_ir(box[0], box[1])
-    x2, y2 = visual_to_ir(box[2], box[3])
+    x1, y1 = visual_to_ir(box[0], box[1], by)
+    x2, y2 = visual_to_ir(box[2], box[3], by)
     a, b = F.greatest(F.lit(0.0), x1), F.greatest(F.lit(0.0), y1)
     c, d = F.least(F.lit(float(width)), x2), F.least(F.lit(float(height)), y2)
     kept = (c - a >= least_side) & (d - b >= least_side) & ((c - a) * (d - b) >= least_share * (x2 - x1) * (y2 - y1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from calorgrid.functions import geometry
 from calorgrid.functions.grading import ladder
 from calorgrid.functions.keys import session_of
 from calorgrid.functions.numeric import filled, finite, to_byte
@@ -13,6 +14,7 @@ from calorgrid.operators.exact import quantiles
 from calorgrid.operators.stats import beside
 from calorgrid.plans.boxes import _BOX, _IOU, boxes
 from calorgrid.plans.registry import Registry
+from calorgrid.sources.sinks import label_texts
 from calorgrid.sources.tables import table
 
 query = Registry()
@@ -429,6 +431,67 @@ def review_order(spark: SparkSession, sf: str) -> DataFrame:
     return f.orderBy(*order).limit(50).select("frame_id", F.row_number().over(every.orderBy(*order)).cast("long").alias("place"))
 
 
+# ---- the rest of the inventory -----------------------------------------------------------------------------------------------------
+@query(f"""with {_BOX}, t as (select det_id, x1 / 1.53 - 44 a, y1 / 1.53 - 46 b, x2 / 1.53 - 44 c, y2 / 1.53 - 46 d from b), k as (select *, greatest(0, a) e, greatest(0, b) f, least(320, c) g, least(240, d) h from t),
+q as (select g - e >= 2 and h - f >= 2 and (g - e) * (h - f) >= 0.35 * (c - a) * (d - b) as kept from k) select count(*) filter (kept) as kept, count(*) filter (not kept) as dropped from q""")
+def clip_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """How many boxes are kept and dropped when they are moved to the infrared frame and clipped."""
+    moved = geometry.visual_box_to_ir([F.col(c) for c in ("x1", "y1", "x2", "y2")])
+    return boxes(spark, sf).select(moved.isNotNull().alias("kept")).agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("dropped"))
+
+
+@query("with t as (select user_id, max(value) t_max, quantile_cont(value, 0.999) p999, median(value) t_med from events group by 1) select user_id, t_max, round(p999, 6) as t_p999, round(t_med, 6) as t_med, count_if(value >= t_max - 5) as n_near, round(count_if(value >= t_max - 5) * 100 / count(value), 6) as near_pct from events join t using (user_id) group by user_id, t_max, p999, t_med")
+def frame_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    from calorgrid.operators import stats
+
+    out = stats.frame_statistics(table(spark, sf, "events").select("user_id", "value"), ["user_id"], "value")
+    return out.select("user_id", "t_max", "n_near", *[F.round(c, 6).alias(c) for c in ("t_p999", "t_med", "near_pct")])
+
+
+@query("""with f as (select coalesce(panel, '(none)') p, t_max - t_med x from frame_report where isfinite(t_max) and isfinite(t_med))
+select case when grouping(p) = 1 then '(all)' else p end as panel, count(*) n, round(quantile_cont(x, 0.5), 6) p50, round(quantile_cont(x, 0.99), 6) p99, round(max(x), 6) most from f group by rollup(p)""")
+def rise_over_median_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """The rollup of rises by their other definition: over the frame's median instead of its ambient."""
+    from calorgrid.operators import stats
+
+    f = table(spark, sf, "frame_report").select("panel", (finite(F.col("t_max")) - finite(F.col("t_med"))).alias("x")).where("x is not null")
+    f = stats.with_all(f, "panel")
+    out = beside(f.groupBy("panel").agg(F.count("*").alias("n"), F.max("x").alias("most")), quantiles(f, ["panel"], "x", {"p50": 0.5, "p99": 0.99}), ["panel"])
+    return out.select("panel", "n", *[F.round(c, 6).alias(c) for c in ("p50", "p99", "most")])
+
+
+@query("select stem, count(*) as n, count(distinct lower(trim(split))) as splits from frame_report where stem is not null group by stem having count(*) > 1 and count(distinct lower(trim(split))) > 1")
+def stems_in_several_splits(spark: SparkSession, sf: str) -> DataFrame:
+    f = table(spark, sf, "frame_report").where("stem is not null")
+    return f.groupBy("stem").agg(F.count("*").alias("n"), F.countDistinct(F.lower(F.trim("split"))).alias("splits")).where("n > 1 and splits > 1")
+
+
+@query("with r as (select panel, frame_id, row_number() over (partition by panel order by md5(frame_id::varchar || '|0'), frame_id) k from frame_report where panel is not null) select panel, frame_id from r where k = 1")
+def one_per_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """A member of each panel, drawn by a seeded hash."""
+    return sampling.per_group(table(spark, sf, "frame_report").where("panel is not null").select("panel", "frame_id"), ["panel"], ["frame_id"], 1)
+
+
+@query(f"""with {_BOX}, p as (select a.cls x, c.cls y from b a join b c on a.stem = c.stem and a.annotator = 0 and c.annotator = 1 where {_IOU} >= 0.1), n as (select x, y, count(*) n from p group by all),
+t as (select sum(n) t, coalesce(sum(n) filter (x = y), 0) s from n), c as (select coalesce(sum(u.n * v.n), 0) c from (select x, sum(n) n from n group by x) u join (select y, sum(n) n from n group by y) v on x = y)
+select t::bigint as n, round(s / t, 6) as agreement, round((s / t - c / (t * t)) / (1 - c / (t * t)), 6) as kappa from t, c""")
+def matched_kappa(spark: SparkSession, sf: str) -> DataFrame:
+    """Cohen's kappa of the classes that two annotators gave to boxes that overlap."""
+    a, b = _two(spark, sf)
+    p = match.overlapping(a, b, "stem", 0.1, None).select(F.col("a.cls").alias("x"), F.col("b.cls").alias("y"))
+    return match.kappa(p, "x", "y").select("n", F.round("agreement", 6).alias("agreement"), F.round("kappa", 6).alias("kappa"))
+
+
+@query(f"with {_BOX}, f as (select distinct stem from frame_report where stem is not null), k as (select stem, count(*) n from b group by stem) select stem, coalesce(n, 0) as lines from f left join k using (stem)")
+def label_texts_with_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """Label texts of all frames of the index, empty ones kept: how many lines each has."""
+    s = geometry.shares(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], 320, 240)
+    b = boxes(spark, sf).select("stem", "det_id", "cls", *[c.alias(n) for c, n in zip(s, ("cx", "cy", "w", "h"), strict=True)])
+    frames = table(spark, sf, "frame_report").where("stem is not null").select("stem").distinct()
+    texts = label_texts(b, "stem", "det_id", keep=frames)
+    return texts.select("stem", (F.size(F.split("text", "\n")) - 1).cast("long").alias("lines"))
+
+
 # ---- near codes that have neighbours -------------------------------------------------------------------------------------------
 @query("""with e as (select vec_id, list_transform(embedding[1:16], lambda x: x::double) v from embeddings), c as (select vec_id, list_sum(list_transform(range(16), lambda i: case when v[i + 1] > list_avg(v) then 1::bigint << i::int else 0::bigint end))::bigint c from e),
 k as (select c, min(vec_id) id from c group by c) select a.id as id_a, b.id as id_b, bit_count(xor(a.c, b.c))::int as distance from k a join k b on a.id < b.id where bit_count(xor(a.c, b.c)) <= 2""")

@@ -10,11 +10,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def label_texts(boxes: DataFrame, stem: str, idx: str, cls: str = "cls", fields: tuple[str, ...] = ("cx", "cy", "w", "h")) -> DataFrame:
-    """``stem, text``: the lines ``cls cx cy w h`` with six decimals (half to even) in box order, each ended by a line break."""
+def label_texts(boxes: DataFrame, stem: str, idx: str, cls: str = "cls", fields: tuple[str, ...] = ("cx", "cy", "w", "h"), keep: DataFrame | None = None) -> DataFrame:
+    """``stem, text``: the lines ``cls cx cy w h`` with six decimals (half to even) in box order, each ended by a line break.
+
+    Frames without boxes have no text, unless ``keep`` (a table of stems) names them: then theirs is empty, and frames it
+    doesn't name are left out."""
     line = F.format_string("%d" + " %.6f" * len(fields), F.col(cls), *[F.rint(F.col(c) * 1e6) / 1e6 for c in fields])
     lines = boxes.groupBy(stem).agg(F.array_sort(F.collect_list(F.struct(F.col(idx).alias("i"), line.alias("s")))).alias("ls"))
-    return lines.select(stem, F.concat(F.array_join(F.transform("ls", lambda x: x["s"]), "\n"), F.lit("\n")).alias("text"))
+    out = lines.select(stem, F.concat(F.array_join(F.transform("ls", lambda x: x["s"]), "\n"), F.lit("\n")).alias("text"))
+    return out if keep is None else keep.select(stem).distinct().join(out, stem, "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
 def escaped(c: Column) -> Column:

@@ -135,3 +135,17 @@ def test_bank_and_stream(spark, tmp_path):
     runs.into(runs.matched(stream, full, "day", "q", 0.99), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert sorted(r["ident"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [3, 4]
     assert standardised(F.col("q")) is not None
+
+
+def test_calibrations_and_empty_labels(spark):
+    from calorgrid.functions import geometry as g
+
+    by = g.calibration('{"scale": 2.0, "x0": 10}')
+    assert by == (2.0, 10.0, float(g.Y0)) and g.calibration("{}") == (g.SCALE, g.X0, g.Y0)
+    x, y = g.visual_to_ir(F.lit(100.0), F.lit(100.0), by)
+    there = spark.range(1).select(x.alias("x"), y.alias("y"))
+    back = there.select(*[c.alias(n) for c, n in zip(g.ir_to_visual(F.col("x"), F.col("y"), by), "xy", strict=True)]).first()
+    assert there.first()["x"] == 40.0 and tuple(back) == (100.0, 100.0)
+    boxes = spark.createDataFrame([("a", 0, 1, 0.5, 0.5, 0.1, 0.1), ("z", 0, 1, 0.5, 0.5, 0.1, 0.1)], "stem string, i int, cls int, cx double, cy double, w double, h double")
+    kept = {r["stem"]: r["text"] for r in sinks.label_texts(boxes, "stem", "i", keep=spark.createDataFrame([("a",), ("b",), ("b",)], "stem string")).collect()}
+    assert set(kept) == {"a", "b"} and kept["b"] == "" and kept["a"].count("\n") == 1
