@@ -51,7 +51,13 @@ class Encoder:
         latin = lambda t: bytes(back[c] for c in t).decode("latin-1")
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         vocab = {t: i for t, i in model["vocab"].items() if all(c in back for c in t)}
-        parts = {a + b: (a, b) for a, b in merges}
+        parts = {}
+        for a, b in merges:
+            parts.setdefault(a + b, (a, b))
+        # merges are compared by the numbers of what they make
+        made = [model["vocab"][t] for t in parts]
+        if any(x >= y for x, y in zip(made, made[1:])):
+            raise ValueError("the tokens' numbers don't rise with the merges")
         vocab = {t: i for t, i in vocab.items() if len(t) == 1 or t in parts}
         size = max(vocab.values()) + 1
         self.length, self.shorter, self.halves = [0] * size, [-1] * size, [(-1, -1)] * size

@@ -27,7 +27,7 @@ def keyed_frames(frames: DataFrame) -> DataFrame:
     """Frames with a split: side, text (null without a stem of the plain form), whether it names one photo, figures, code
     blocks. Null texts are dropped where keys are made: a filter here would parse every stem twice."""
     side = F.lower(F.regexp_replace("split", r"(?U)\s", ""))
-    figure = [F.when(F.abs(F.col(c)) < 1e12, F.col(c) + 0.0).alias(c) for c in FIGURES]
+    figure = [(F.col(c).cast("double") + 0.0).alias(c) for c in FIGURES]
     blocks = F.array(F.col("k.cabinet"), F.col("k.day"), F.concat_ws("_", "k.camera", "k.frame"))
     return (
         frames.select("frame_id", side.alias("side"), *figure, stem_struct(F.col("stem"), F.col("panel")).alias("k"))
@@ -43,9 +43,14 @@ def _block(code: Column, k: int) -> Column:
 _SAME = 3  # the key that stands for the whole photo; 0 to 2 stand for a block
 
 
+#: width of a cell of the figures' grid, in degrees: a finer one has fewer candidates, and held-out frames lie near more cells
+CELL = 0.5
+
+
 def _cells(margin: float) -> Column:
-    """Cells of the figures' grid, one degree wide, that lie within ``margin`` of a frame."""
-    cell = lambda v: F.floor(v).cast("long")
+    """Cells of the figures' grid that lie within ``margin`` of a frame. Figures beyond the range of numbers of cells share
+    the last one, so none is left out."""
+    cell = lambda v: F.floor(v / CELL).cast("long")
 
     def crossed(cells: Column, c: str) -> Column:
         near = F.array_distinct(F.array(cell(F.col(c) - margin), cell(F.col(c) + margin)))
@@ -80,7 +85,8 @@ def cross_split_pairs(frames: DataFrame, edits: int = 2, tolerance: float = 0.1)
     figures are present and agree. A plain stem has three blocks (cabinet; day; camera and frame), so that one block at
     least is the same in both texts of a near pair; blocks are compared by their code, joined within one cell of the
     figures' grid, and the whole code must lie within the Hamming radius ``4 * edits`` before the texts are compared.
-    A pair comes out at the first block its codes share. Null split, stem or figure: no pair by it. A frame_id is taken
+    A pair comes out at the first block its codes share. Null split, stem or figure: no pair by it; a NaN or infinite figure
+    agrees with none. A frame_id is taken
     to be unique; every row of a repeated one has its pairs."""
     if edits > 2:
         raise ValueError("three blocks find texts that are at most two letters apart")

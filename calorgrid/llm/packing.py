@@ -95,13 +95,12 @@ def pack(items: DataFrame, key: str, size: str, capacities: Sequence[int], bucke
         return pd.DataFrame(rows, columns=["capacity", "size", "first", "each", "base"])
 
     table = lengths.groupBy("capacity").applyInPandas(plans, "capacity int, size int, first long, each long, base long").toPandas()
-    # (capacity, size, first rank) in one number, to look places up by bisection
+    # sorted by (capacity, size) and first rank, to look places up by bisection
     table = table.sort_values(["capacity", "size", "first"], ignore_index=True)
     wide = max(caps) + 1
     slot = {c: i for i, c in enumerate(caps)}
     starts = (table["capacity"].map(slot).to_numpy(dtype=np.int64) * wide + table["size"].to_numpy(dtype=np.int64)) if len(table) else np.zeros(0, np.int64)
     first, per, base = (table[c].to_numpy(dtype=np.int64) for c in ("first", "each", "base"))
-    keys = (starts << 36) + first
 
     most = lengths.agg(F.max("n")).first()[0] or 0
     buckets = max(16, -(-int(most) // bucket_rows))
@@ -119,8 +118,13 @@ def pack(items: DataFrame, key: str, size: str, capacities: Sequence[int], bucke
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rank = pdf["rank"].to_numpy(dtype=np.int64)
-            which = ((pdf["capacity"].map(slot).to_numpy(dtype=np.int64) * wide + pdf["size"].to_numpy(dtype=np.int64)) << 36) + rank
-            at = np.searchsorted(keys, which, side="right") - 1
+            which = pdf["capacity"].map(slot).to_numpy(dtype=np.int64) * wide + pdf["size"].to_numpy(dtype=np.int64)
+            at = np.zeros(len(pdf), dtype=np.int64)
+            order = np.argsort(which, kind="stable")
+            kinds, begin = np.unique(which[order], return_index=True)
+            for k, rows in zip(kinds, np.split(order, begin[1:]), strict=True):
+                lo, hi = np.searchsorted(starts, k, "left"), np.searchsorted(starts, k, "right")
+                at[rows] = lo + np.searchsorted(first[lo:hi], rank[rows], side="right") - 1
             yield pdf.drop(columns="rank").assign(container=base[at] + (rank - first[at]) // per[at])
 
     kind = dict(each.dtypes)["key"]

@@ -116,6 +116,17 @@ k as (select frame_id, split, source, t_ambient, t_med, t_max, worst_temp, m.res
   case when m.p <> '' then '_P' || m.p when coalesce(regexp_extract(upper(translate(panel, 'Ｐｐ－０１２３４５６７８９', 'PP-0123456789')), '^\s*P[-_ ]*0*([0-9]+)', 1), '') <> ''
   then '_P' || regexp_extract(upper(translate(panel, 'Ｐｐ－０１２３４５６７８９', 'PP-0123456789')), '^\s*P[-_ ]*0*([0-9]+)', 1) else '' end as cabinet from h where m.a || m.e <> '')"""
 
+_PAIRS = f"""{_STEMS},
+d as (select *, regexp_extract(rest, '^([0-9OLI./ -]*?)[-_. ]*IR([0-9OLI]*)[-_. ]+#?([0-9OLI]+)(?:[^0-9A-Z].*)?$', ['day', 'cam', 'frame']) as n from k),
+d1 as (select *, regexp_replace(translate(trim(n.day), 'OLI', '011'), '[./ ]', '-', 'g') as day0, translate(n.cam, 'OLI', '011') as cam, translate(n.frame, 'OLI', '011') as f0 from d where n.frame <> ''),
+d2 as (select *, case when regexp_full_match(day0, '\\d{{8}}') then day0[1:4] || '-' || day0[5:6] || '-' || day0[7:8] when regexp_full_match(day0, '\\d{{6}}') then '20' || day0[1:2] || '-' || day0[3:4] || '-' || day0[5:6]
+  when regexp_full_match(day0, '20\\d{{5}}|20\\d{{7}}') then day0[1:4] || '-' || day0[5:6] || '-' || day0[7:] else day0 end as day,
+  case when regexp_full_match(f0, '0\\d{{3}}') then f0 when length(ltrim(f0, '0')) < 5 then lpad(ltrim(f0, '0'), 5, '0') else ltrim(f0, '0') end as frame from d1),
+x as (select frame_id, lower(trim(split)) as split, t_ambient as f1, t_med as f2, t_max as f3, worst_temp as f4, cabinet || '_' || day || '_IR' || cam || '_' || frame as text,
+  cabinet like '%\\_P%' escape '\\' and regexp_full_match(day, '\\d{{4}}-\\d\\d-\\d\\d') and regexp_full_match(cam, '\\d') and not regexp_full_match(f0, '0\\d{{3}}') as valid from d2),
+pairs as (select least(a.frame_id, b.frame_id) as frame_id_a, greatest(a.frame_id, b.frame_id) as frame_id_b from x a join x b on a.split = 'train' and b.split in ('val', 'test')
+where (a.valid and b.valid and a.text = b.text) or (abs(a.f1 - b.f1) <= 0.1 + 1e-9 and abs(a.f2 - b.f2) <= 0.1 + 1e-9 and abs(a.f3 - b.f3) <= 0.1 + 1e-9 and abs(a.f4 - b.f4) <= 0.1 + 1e-9 and levenshtein(a.text, b.text) <= 2))"""
+
 SQL = {
     "p1_shares": """select s as split, l as label, true as kept from (values ('train'), ('val'), ('test')) a(s),
   (select '(all)' as l from frame_report union select case when verdict in ('normal', 'caution', 'abnormal', 'critical') then verdict else '(other)' end from frame_report)""",
@@ -125,14 +136,7 @@ e as (select old_key as a, new_key as b from cabinet_moves union select new_key,
 r as (select a as x, a as y from e union select r.x, e.b from r join e on e.a = r.y),
 g as (select x, min(y) as component from r group by x)
 select frame_id, coalesce(component, cabinet) as group_key from k left join g on x = cabinet""",
-    "p3_found": f"""with {_STEMS},
-d as (select *, regexp_extract(rest, '^([0-9OLI./ -]*?)[-_. ]*IR([0-9OLI]*)[-_. ]+#?([0-9OLI]+)(?:[^0-9A-Z].*)?$', ['day', 'cam', 'frame']) as n from k),
-d1 as (select *, regexp_replace(translate(trim(n.day), 'OLI', '011'), '[./ ]', '-', 'g') as day0, translate(n.cam, 'OLI', '011') as cam, translate(n.frame, 'OLI', '011') as f0 from d where n.frame <> ''),
-d2 as (select *, case when regexp_full_match(day0, '\\d{{8}}') then day0[1:4] || '-' || day0[5:6] || '-' || day0[7:8] when regexp_full_match(day0, '\\d{{6}}') then '20' || day0[1:2] || '-' || day0[3:4] || '-' || day0[5:6]
-  when regexp_full_match(day0, '20\\d{{5}}|20\\d{{7}}') then day0[1:4] || '-' || day0[5:6] || '-' || day0[7:] else day0 end as day,
-  case when regexp_full_match(f0, '0\\d{{3}}') then f0 when length(ltrim(f0, '0')) < 5 then lpad(ltrim(f0, '0'), 5, '0') else ltrim(f0, '0') end as frame from d1),
-x as (select frame_id, lower(trim(split)) as split, t_ambient as f1, t_med as f2, t_max as f3, worst_temp as f4, cabinet || '_' || day || '_IR' || cam || '_' || frame as text,
-  cabinet like '%\\_P%' escape '\\' and regexp_full_match(day, '\\d{{4}}-\\d\\d-\\d\\d') and regexp_full_match(cam, '\\d') and not regexp_full_match(f0, '0\\d{{3}}') as valid from d2)
-select least(a.frame_id, b.frame_id) as frame_id_a, greatest(a.frame_id, b.frame_id) as frame_id_b from x a join x b on a.split = 'train' and b.split in ('val', 'test')
-where (a.valid and b.valid and a.text = b.text) or (abs(a.f1 - b.f1) <= 0.1 + 1e-9 and abs(a.f2 - b.f2) <= 0.1 + 1e-9 and abs(a.f3 - b.f3) <= 0.1 + 1e-9 and abs(a.f4 - b.f4) <= 0.1 + 1e-9 and levenshtein(a.text, b.text) <= 2)""",
+    "p3_found": f"""with {_PAIRS} select frame_id_a, frame_id_b from pairs""",
+    "p3_report": f"""with {_PAIRS}, i as (select frame_id_a as frame_id, frame_id_b as other from pairs union all select frame_id_b, frame_id_a from pairs)
+select lower(trim(split)) as split, source, count(*) as n_pairs, count(distinct frame_id) as n_frames, count(distinct other) as n_train from i join frame_report using (frame_id) where lower(trim(split)) in ('val', 'test') group by all""",
 }
