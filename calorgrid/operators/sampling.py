@@ -49,6 +49,14 @@ def cross_review(rows: DataFrame, owner: str, key: str, following: dict[str, str
     return rows.withColumn("role", F.lit("own")).unionByName(cross.withColumn("role", F.lit("cross")))
 
 
+def fold_splits(rows: DataFrame, session: str) -> DataFrame:
+    """``session, fold, split`` of every pair of sessions: the folds without the rows, which may be joined when a fold is used.
+    Null sessions are none."""
+    sessions = rows.where(F.col(session).isNotNull()).select(F.col(session).alias("session")).distinct()
+    both = sessions.join(sessions.select(F.col("session").alias("fold")), F.lit(True))
+    return both.withColumn("split", F.when(F.col("session") == F.col("fold"), "val").otherwise("train"))
+
+
 def leave_one_out(rows: DataFrame, session: str, sessions: Sequence[str] | DataFrame) -> DataFrame:
     """Each row once for each fold, in ``val`` where its session is held out; the folds are a short list, or a table ``fold``
     (broadcast, as its rows times those of ``rows`` come out)."""

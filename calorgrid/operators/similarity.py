@@ -10,25 +10,33 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calorgrid.operators.windows import numbered
+from calorgrid.session import checkpointed
+
+
+def _tiles(df: DataFrame, ident: str, vector: str, block: str) -> DataFrame:
+    """``id, v, block`` of rows with a vector; the vector's length is part of the block."""
+    return df.where(F.col(vector).isNotNull()).select(F.col(ident).alias("id"), F.col(vector).cast("array<float>").alias("v"), F.concat_ws("|", F.col(block).cast("string"), F.size(vector)).alias("block"))
+
 
 def best_partners(queries: DataFrame, bank: DataFrame, ident: str, vector: str, block: str, k: int = 2, tile: int = 512) -> DataFrame:
     """``query, partner, score, place``: the ``k`` most similar vectors of the same block for each query (not itself), by
     dot product over length; ties go to the smaller id.
 
-    Queries and bank are tiled within their block; each pair of tiles is one matrix product, whose ``k`` best a query are
-    kept before the shuffle, so that no block is gathered in one task. Null vectors, and those of other length, match nothing."""
-    dims = F.size(vector)
-    tiled = lambda df, name, n: df.where(F.col(vector).isNotNull()).select(F.col(ident).alias("id"), F.col(vector).cast("array<float>").alias("v"), F.concat_ws("|", F.col(block).cast("string"), dims).alias("block"), F.pmod(F.xxhash64(ident), F.lit(n)).cast("int").alias(name))
-    largest = bank.groupBy(block).count().agg(F.max("count")).first()[0] or 0
-    n = max(1, -(-int(largest) // tile))
-    q = tiled(queries, "tq", n).withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    b = tiled(bank, "tb", n).withColumn("tq", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    Queries and bank are tiled within their block, into as many tiles as the block's bank asks for; each pair of tiles is one
+    matrix product, whose ``k`` best a query are kept before the shuffle, so that no block is gathered in one task. Null
+    vectors, and those of other length, match nothing."""
+    q, b = _tiles(queries, ident, vector, block), _tiles(bank, ident, vector, block)
+    sizes = b.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("_t"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_t") - 1))
+    own = F.pmod(F.xxhash64("id"), F.col("_t")).cast("int")
+    q = q.join(sizes, "block").select("block", "id", "v", own.alias("tq"), every.alias("tb"))
+    b = b.join(sizes, "block").select("block", "id", "v", own.alias("tb"), every.alias("tq"))
     kind = dict(queries.dtypes)[ident]
 
     def product(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query": [], "partner": [], "score": []})
         if not len(left) or not len(right):
-            return empty
+            return pd.DataFrame({"query": [], "partner": [], "score": []})
         x, y = np.stack(left["v"].to_list()).astype(float), np.stack(right["v"].to_list()).astype(float)
         right_ids, left_ids = right["id"].to_numpy(), left["id"].to_numpy()
         order = np.argsort(right_ids, kind="stable")
@@ -45,42 +53,80 @@ def best_partners(queries: DataFrame, bank: DataFrame, ident: str, vector: str,
     return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
-def leaders(rows: DataFrame, ident: str, vector: str, block: str, least: float = 0.93) -> DataFrame:
+def leaders(rows: DataFrame, ident: str, vector: str, block: str, least: float = 0.93, first: int = 2048, growth: int = 8, tile: int = 512) -> DataFrame:
     """``ident, leader``: in order of id, a vector joins the first leader of its block that is similar (cosine) by ``least``,
-    or leads itself. The order makes it sequential within a block; blocks (a panel's day, say) are bounded by their making,
-    and vectors stream through in batches, only leaders being held. A null or zero vector leads itself."""
-    kind = dict(rows.dtypes)[ident]
-    data = rows.select(F.col(block).cast("string").alias("block"), F.col(ident).alias("id"), F.col(vector).cast("array<float>").alias("v"))
+    or leads itself. A null or zero vector leads itself, vectors of other length are of other blocks, null blocks are a block.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    The order is kept in rounds over places in the block, the first of ``first`` places, each next one ``growth`` times
+    longer: a round's vectors are first compared with all leaders there are, by tiles in parallel; only those that none of
+    them takes are folded in order, a block in one task. So a block of any size takes a logarithm of rounds, and what is
+    sequential is what founds new clusters or lies near those that do."""
+    kind = dict(rows.dtypes)[ident]
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    data = rows.select(F.col(ident).alias("id"), F.transform(F.col(vector).cast("array<float>"), lambda x: x.cast("double")).alias("v"), F.concat_ws("|", F.col(block).cast("string"), F.coalesce(F.size(vector), F.lit(0))).alias("block"))
+    data = data.withColumn("_n", norm)
+    alone = data.where("not coalesce(_n > 0, false)").select(F.col("id").alias(ident), F.col("id").alias("leader"))
+    unit = data.where("_n > 0").select("block", "id", F.transform("v", lambda x: x / F.col("_n")).alias("v"))
+    placed = checkpointed(numbered(unit, ["block"], ["id"], "place"))
+    end = placed.agg(F.max("place")).first()[0]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now: object = object()
-        held, ids = np.zeros((0, 0)), []  # rows beyond the number of ids are room to grow
+        held, ids, at = np.zeros((0, 0)), [], []  # rows beyond the number of ids are room to grow
         for pdf in batches:
             out = []
-            for block_, i, v in zip(pdf["block"], pdf["id"], pdf["v"], strict=True):
+            for block_, i, place, v in zip(pdf["block"], pdf["id"], pdf["place"], pdf["v"], strict=True):
+                x = np.asarray(v, dtype=float)
                 if block_ != now:
-                    now, held, ids = block_, np.zeros((0, 0)), []
-                x = np.zeros(0) if v is None else np.asarray(v, dtype=float)
-                norm = float(np.linalg.norm(x))
-                lead = i
-                if norm > 0:
-                    x = x / norm
-                    if held.shape[1] != len(x):
-                        if ids:
-                            raise ValueError("vectors of a block differ in length")
-                        held = np.zeros((64, len(x)))
-                    near = np.flatnonzero(held[: len(ids)] @ x >= least)
-                    if len(near):
-                        lead = ids[near[0]]
-                    else:
-                        if len(ids) == len(held):
-                            held = np.concatenate([held, np.zeros_like(held)])
-                        held[len(ids)] = x
-                        ids.append(i)
-                out.append((i, lead))
-            yield pd.DataFrame(out, columns=["id", "leader"])
-
-    return data.repartition("block").sortWithinPartitions("block", "id").mapInPandas(run, f"id {kind}, leader {kind}").withColumnRenamed("id", ident)
+                    now, held, ids, at = block_, np.zeros((64, len(x))), [], []
+                near = np.flatnonzero(held[: len(ids)] @ x >= least)
+                if not len(near):
+                    if len(ids) == len(held):
+                        held = np.concatenate([held, np.zeros_like(held)])
+                    held[len(ids)] = x
+                    ids.append(i)
+                    at.append(place)
+                k = near[0] if len(near) else -1
+                out.append((block_, i, place, ids[k], at[k]))
+            yield pd.DataFrame(out, columns=["block", "id", "place", "leader", "lead"])
+
+    def taken(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"block": pd.Series([], dtype=object), "place": [], "lead": []})
+        right = right.sort_values("place", ignore_index=True)
+        near = np.stack(left["v"].to_list()) @ np.stack(right["v"].to_list()).T >= least
+        hit = near.any(axis=1)
+        return pd.DataFrame({"block": pd.Series([str(left["block"].iloc[0])] * int(hit.sum()), dtype=object), "place": left["place"].to_numpy()[hit], "lead": right["place"].to_numpy()[near[hit].argmax(axis=1)]})
+
+    found, known, lo, hi = [], None, 0, first
+    while end is not None and lo <= end:
+        batch = placed.where((F.col("place") >= lo) & (F.col("place") < hi))
+        rest = batch
+        if known is not None:
+            tiles = known.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("_t"))
+            every = F.explode(F.sequence(F.lit(0), F.col("_t") - 1))
+            q = batch.join(tiles, "block").select("block", "place", "v", F.floor(F.col("place") / tile).alias("tq"), every.alias("tb"))
+            spans = batch.join(tiles, "block").select("block", "_t", F.floor(F.col("place") / tile).alias("tq")).distinct()
+            b = known.join(spans, "block").select(*[F.col(c).alias(c) for c in ("block", "place", "v", "tq")], F.pmod(F.xxhash64("place"), F.col("_t")).cast("int").alias("tb"))
+            each = q.groupBy("block", "tq", "tb").cogroup(b.groupBy("block", "tq", "tb")).applyInPandas(taken, "block string, place long, lead long")
+            joined = checkpointed(each.groupBy("block", "place").agg(F.min("lead").alias("lead")))
+            found.append(joined)
+            rest = batch.join(joined.select("block", "place"), ["block", "place"], "left_anti")
+        schema = f"block string, id {kind}, place long, leader {kind}, lead long"
+        folded = checkpointed(rest.select("block", "id", "place", "v").repartition("block").sortWithinPartitions("block", "place").mapInPandas(fold, schema))
+        found.append(folded.select("block", "place", "lead"))
+        new = batch.join(folded.where("place = lead").select("block", "place"), ["block", "place"], "left_semi").select("block", "place", "v")
+        known = checkpointed(new if known is None else known.unionByName(new))
+        lo, hi = hi, hi * growth
+    out = alone
+    if found:
+        links = found[0]
+        for more in found[1:]:
+            links = links.unionByName(more)
+        ids = placed.select("block", "place", "id")
+        named = links.join(ids, ["block", "place"]).join(ids.select("block", F.col("place").alias("lead"), F.col("id").alias("leader")), ["block", "lead"])
+        out = alone.unionByName(named.select(F.col("id").alias(ident), "leader"))
+    return out
 
 
 def exact_duplicates(rows: DataFrame, ident: str, content: str) -> DataFrame:

@@ -23,6 +23,7 @@ def local_session(name: str = "calorgrid", cores: str = "*", partitions: int = 8
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # a checkpoint goes when nothing refers to it
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -75,11 +75,12 @@ def test_near_codes_against_all_pairs(spark, radius):
     assert {tuple(x) for x in got} == want and len(got) == len(want)
 
 
-def test_leaders_grow(spark):
+@pytest.mark.parametrize("first,growth,tile", [(2048, 8, 512), (7, 2, 5), (50, 4, 3)])
+def test_leaders_grow(spark, first, growth, tile):
     g = np.random.default_rng(0)
     v = g.normal(size=(400, 8))
     v[200:] = v[g.integers(0, 200, 200)] * 2
-    got = dict(similarity.leaders(spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "id int, v array<double>, b int"), "id", "v", "b", 0.93).collect())
+    got = dict(similarity.leaders(spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "id int, v array<double>, b int"), "id", "v", "b", 0.93, first, growth, tile).collect())
     unit = (v / np.linalg.norm(v, axis=1)[:, None]).astype(np.float32).astype(float)
     lead, want = [], {}
     for i, x in enumerate(unit):
@@ -90,6 +91,18 @@ def test_leaders_grow(spark):
     assert got == want and len(lead) > 128
 
 
+def test_odd_vectors_lead_themselves(spark):
+    rows = [(1, [1.0, 0.0], "a"), (2, [2.0, 0.1], "a"), (3, [1.0, 0.0], "b"), (4, [1.0, 0.0, 0.0], "a"), (5, None, "a"), (6, [0.0, 0.0], "a"), (7, [3.0, 0.0], None), (8, [1.0, 0.0], None), (9, [], "a")]
+    df = spark.createDataFrame(rows, "id int, v array<double>, b string")
+    assert dict(similarity.leaders(df, "id", "v", "b").collect()) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 7, 9: 9}
+    assert similarity.leaders(df.limit(0), "id", "v", "b").count() == 0
+
+
+def test_folds_without_rows(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "s string, i int")
+    assert sorted(map(tuple, sampling.fold_splits(df, "s").collect())) == [("a", "a", "val"), ("a", "b", "train"), ("b", "a", "train"), ("b", "b", "val")]
+
+
 def boxes_of(sizes, classes=("x", "y")):
     r = random.Random(sum(sizes))
     return [(f"s{k}", f"s{k}f{f}", r.choice(classes)) for k, n in enumerate(sizes) for f in range(n) for _ in range(r.randint(1, 3))]
