@@ -9,7 +9,8 @@ from calorgrid.session import checkpointed
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
-    """Link every b of (a, b) to the least of a and all its b; hub rows are pre-aggregated, so a hub may be of any size."""
+    """Link every b of (a, b) to the least of a and all its b. The least is pre-aggregated; the rows of a hub then meet it under
+    one join key, one row on the other side, which adaptive execution splits where they are many."""
     least = pairs.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     return pairs.join(least, "a")
 
