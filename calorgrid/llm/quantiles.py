@@ -24,7 +24,7 @@ TOP = 10
 _LEVELS = BITS - TOP
 _MOST_ROWS = 63
 #: summaries that one task adds at most
-FAN_IN = 64
+FAN_IN = 32
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(1 << 62, (1 << 63) - 1, size=(2, _LEVELS, _MOST_ROWS), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, (1 << 63) - 1, size=(2, _LEVELS, _MOST_ROWS), dtype=np.int64).astype(np.uint64)
