@@ -94,7 +94,8 @@ def pack(items: DataFrame, key: str, size: str, capacities: Sequence[int], bucke
             base += times
         return pd.DataFrame(rows, columns=["capacity", "size", "first", "each", "base"])
 
-    table = lengths.groupBy("capacity").applyInPandas(plans, "capacity int, size int, first long, each long, base long").toPandas()
+    # each capacity's plan is a task of its own, as far as their hashes differ
+    table = lengths.repartition(4 * len(caps), "capacity").groupBy("capacity").applyInPandas(plans, "capacity int, size int, first long, each long, base long").toPandas()
     # sorted by (capacity, size) and first rank, to look places up by bisection
     table = table.sort_values(["capacity", "size", "first"], ignore_index=True)
     wide = max(caps) + 1
