@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from calorgrid.session import checkpointed
+from calorgrid.session import SMALL_BYTES, checkpointed, estimated_bytes
 
 _CELLS = 4096
 
@@ -62,8 +62,10 @@ def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, fl
 
     A key's distinct values are gathered in one task only up to ``most_rows`` rows; keys of more rows, of which the rows
     bound the number (more than ``most_heavy`` is an error: raise ``most_rows``), go by ``exact_quantiles``. Counting the
-    keys reads no other column."""
+    keys reads no other column, and is left out for inputs of a few megabytes, which one task may hold."""
     plain = [F.percentile(F.when(~F.isnan(value), F.col(value)), q).alias(name) for name, q in shares.items()]
+    if estimated_bytes(rows) < SMALL_BYTES:
+        return rows.groupBy(*keys).agg(*plain)
     ids = F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
     tall = [r[0] for r in rows.groupBy(ids.alias("_id")).agg(F.count("*").alias("n")).where(F.col("n") > most_rows).limit(most_heavy + 1).collect()]
     if not tall:

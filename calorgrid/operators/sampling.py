@@ -157,4 +157,4 @@ def jittered(rows: DataFrame, columns: Sequence[str], key: str, amount: float, s
 
 def jitter(name: str, key: str, seed: int = 0) -> Column:
     """A number between -1 and 1 by a hash of key, name and seed."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(f"{name}{seed}")), F.lit(1_000_003)) / 1_000_003 * 2 - 1
+    return _digits(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(f"{name}{seed}"))), 1) / 2**32 * 2 - 1

@@ -113,7 +113,11 @@ def leaders(rows: DataFrame, ident: str, vector: str, block: str, least: float =
             found.append(joined)
             rest = batch.join(joined.select("block", "place"), ["block", "place"], "left_anti")
         schema = f"block string, id {kind}, place long, leader {kind}, lead long"
-        folded = checkpointed(rest.select("block", "id", "place", "v").repartition("block").sortWithinPartitions("block", "place").mapInPandas(fold, schema))
+        folded = rest.select("block", "id", "place", "v").repartition("block").sortWithinPartitions("block", "place").mapInPandas(fold, schema)
+        if hi > end:  # the last round
+            found.append(folded.select("block", "place", "lead"))
+            break
+        folded = checkpointed(folded)
         found.append(folded.select("block", "place", "lead"))
         new = batch.join(folded.where("place = lead").select("block", "place"), ["block", "place"], "left_semi").select("block", "place", "v")
         known = checkpointed(new if known is None else known.unionByName(new))

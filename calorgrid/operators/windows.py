@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calorgrid.session import checkpointed
+from calorgrid.session import SMALL_BYTES, checkpointed, estimated_bytes
 
 #: rows of a group that one task looks at for runs
 _STRETCH = 100_000
@@ -65,6 +65,10 @@ def numbered(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str],
 
     Rows are range-partitioned by (group, order) and written to the checkpoint folder, so a group of any size is spread;
     a row's place is its position in the whole less that of its group's first row. Ties need a last key to be settled."""
+    keep = [c for c in rows.columns if c != name]
+    if estimated_bytes(rows) < SMALL_BYTES:  # such a group fits into a task
+        w = Window.partitionBy(*(by or [F.lit("all")])).orderBy(*order)
+        return rows.withColumn(name, (F.row_number().over(w) - 1).cast("long")).select(*keep, name)
     keys = [*[F.col(c) for c in by], *order]
     spread = checkpointed(rows.repartitionByRange(*keys).sortWithinPartitions(*keys)).withColumn("_id", F.monotonically_increasing_id())
     spread = spread.withColumn("_part", F.call_function("shiftright", "_id", F.lit(33)))

@@ -137,7 +137,18 @@ def kappa(spark: SparkSession, sf: str) -> DataFrame:
     return match.kappa(d, "a", "b").select("n", F.round("agreement", 6).alias("agreement"), F.round("kappa", 6).alias("kappa"))
 
 
-@query()
+#: of a list of boxes the first pair (i, j) that joins, in the order of the list
+_PAIR = """list_filter(flatten(list_transform(range(1, len(l) + 1), lambda i: list_transform(range(i + 1, len(l) + 1), lambda j: {'i': i, 'j': j}))), lambda p:
+  l[p.i].cls = l[p.j].cls and (least(l[p.i].x2, l[p.j].x2) - greatest(l[p.i].x1, l[p.j].x1)) / greatest(least(l[p.i].x2 - l[p.i].x1, l[p.j].x2 - l[p.j].x1), 1e-9) >= 0.6
+  and greatest(l[p.i].y1, l[p.j].y1) - least(l[p.i].y2, l[p.j].y2) <= 40)[1]"""
+
+
+@query(f"""with recursive {_BOX}, s as (select stem, list({{'id': det_id, 'cls': cls, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}} order by det_id) l from b where cls % 5 = 0 group by stem),
+g as (select stem, 0 as step, l, {_PAIR} as p from s union all select stem, step, l, {_PAIR} as p from (
+  select stem, step + 1 as step, list_append(list_filter(l, lambda x, k: k <> p.i and k <> p.j), {{'id': least(l[p.i].id, l[p.j].id), 'cls': l[p.i].cls, 'x1': least(l[p.i].x1, l[p.j].x1), 'y1': least(l[p.i].y1, l[p.j].y1),
+    'x2': greatest(l[p.i].x2, l[p.j].x2), 'y2': greatest(l[p.i].y2, l[p.j].y2)}}) as l from g where p is not null)),
+f as (select stem, unnest(l) as x from g where p is null)
+select stem, x.id as det_id, x.cls as cls, x.x1 as x1, x.y1 as y1, x.x2 as x2, x.y2 as y2 from f union all select stem, det_id, cls, x1, y1, x2, y2 from b where cls % 5 <> 0""")
 def split_box_merge(spark: SparkSession, sf: str) -> DataFrame:
     return match.merge_split_boxes(boxes(spark, sf), "stem", "det_id", list(range(0, 26, 5)))
 
@@ -185,7 +196,13 @@ def annotation_elements(spark: SparkSession, sf: str) -> DataFrame:
     return annotation_xml(b, "stem", "det_id", "label", 320, 240)
 
 
-@query()
+_UNIT = "list_sum(list_transform(range(1, 9), lambda i: (strpos('0123456789abcdef', substr(md5(det_id || '|{0}0'), i::int, 1)) - 1) * power(16, 8 - i))) / 4294967296 * 2 - 1"
+
+
+@query(f"""with {_BOX}, u as (select *, {_UNIT.format('x1')} as du, {_UNIT.format('y1')} as dv from b), m(amount) as (values (1.6), (6.4), (16.0)),
+a as (select amount::double amount, x1, y1, x2, y2, x1 + du * amount u1, y1 + dv * amount v1, x2 + du * amount u2, y2 + dv * amount v2 from u, m),
+i as (select *, greatest(0, least(x2, u2) - greatest(x1, u1)) * greatest(0, least(y2, v2) - greatest(y1, v1)) as s from a)
+select amount, count(*) as n, round(median(s / greatest((x2 - x1) * (y2 - y1) + (u2 - u1) * (v2 - v1) - s, 1e-9)), 6) as median_iou from i group by amount""")
 def jitter_sensitivity(spark: SparkSession, sf: str) -> DataFrame:
     """Overlap of each box with itself after it is moved by up to 1.6, 6.4 or 16 pixels, per amount."""
     b = boxes(spark, sf).select("det_id", "x1", "y1", "x2", "y2")

@@ -49,11 +49,19 @@ def parallelism(df: DataFrame, least: int = 1) -> int:
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size; no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+#: inputs below this estimate take plain forms with fewer jobs; results are the same
+SMALL_BYTES = 16 << 20
+
+
 def by_range(df: DataFrame, order: list[Column], bytes_each: int = 128 << 20) -> DataFrame:
     """``df`` range-partitioned by ``order``: into the session's shuffle partitions, or more where the optimizer's estimate
     of its size asks for them."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    parts = size // bytes_each
+    parts = estimated_bytes(df) // bytes_each
     known = parallelism(df) < parts < 1 << 20  # an estimate beyond that isn't one
     return df.repartitionByRange(int(parts), *order) if known else df.repartitionByRange(*order)
 
