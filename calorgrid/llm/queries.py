@@ -99,12 +99,22 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     return fill(p8_containers(spark, sf))
 
 
+def p8_least(spark: SparkSession, sf: str) -> DataFrame:
+    """``capacity, within, least, whole``: whether no container holds more than its capacity, whether there are no more of them
+    than the sizes ask for, and whether only texts beyond the capacity are cut."""
+    packed = checkpointed(p8_containers(spark, sf))
+    each = packed.groupBy("capacity", "container").agg(F.sum("size").alias("used"))
+    room = each.groupBy("capacity").agg((F.max("used") <= F.col("capacity")).alias("within"), (F.count("*") <= F.greatest(F.ceil(F.sum("used") / F.col("capacity")), F.lit(1))).alias("least"))
+    cut = packed.groupBy("capacity", "doc_id").agg(F.max("piece").alias("last"), F.sum("size").alias("n")).groupBy("capacity").agg(F.min((F.col("last") == 0) | (F.col("n") > F.col("capacity"))).alias("whole"))
+    return room.join(cut, "capacity").select("capacity", "within", "least", "whole")
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return sentence_places(spread(table(spark, sf, "documents").select("doc_id", "text")))
 
 
 QUERIES = {
-    f.__name__: f for f in (p1_found, p1_splits, p1_shares, p3_found, p3_report, p5_percentiles, p5_daily, p5_rank_errors, p7_ids, p8_containers, p8_fill, p9_found)
+    f.__name__: f for f in (p1_found, p1_splits, p1_shares, p3_found, p3_report, p5_percentiles, p5_daily, p5_rank_errors, p7_ids, p8_containers, p8_fill, p8_least, p9_found)
 }
 
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)).replace("＇", "") + "　 "
@@ -128,6 +138,7 @@ pairs as (select least(a.frame_id, b.frame_id) as frame_id_a, greatest(a.frame_i
 where (a.valid and b.valid and a.text = b.text) or (abs(a.f1 - b.f1) <= 0.1 + 1e-9 and abs(a.f2 - b.f2) <= 0.1 + 1e-9 and abs(a.f3 - b.f3) <= 0.1 + 1e-9 and abs(a.f4 - b.f4) <= 0.1 + 1e-9 and levenshtein(a.text, b.text) <= 2))"""
 
 SQL = {
+    "p8_least": "select distinct capacity, true as within, true as least, true as whole from pack_sizes where capacity > 0",
     "p1_shares": """select s as split, l as label, true as kept from (values ('train'), ('val'), ('test')) a(s),
   (select '(all)' as l from frame_report union select case when verdict in ('normal', 'caution', 'abnormal', 'critical') then verdict else '(other)' end from frame_report)""",
     "p5_rank_errors": f"""with {CENSUS_SQL} select panel, cls, share, n, true as kept from (select panel, cls, count(*) n from c where isfinite(t_p99) group by all), (values ('p50'), ('p90'), ('p95'), ('p99')) s(share)""",
