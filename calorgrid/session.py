@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import io
 import tempfile
 import zipfile
 from pathlib import Path
@@ -69,17 +69,23 @@ def by_range(df: DataFrame, order: list[Column], bytes_each: int = 128 << 20) ->
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once for each Spark application.
 
-    The archive lies in the driver's temporary folder only until Spark's file server has it."""
+    The archive is written to the folder in ``spark.checkpoint.dir``; a session that names none serves it from a folder of
+    the driver's own, which no executor reads."""
     sc = spark.sparkContext
     if _shipped.get("app") == sc.applicationId:
         return
     root = Path(__file__).resolve().parent
-    folder = tempfile.mkdtemp(prefix="calorgrid-")
-    name = os.path.join(folder, "calorgrid.zip")
-    with zipfile.ZipFile(name, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
-    sc.addPyFile(name)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="calorgrid-")
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{folder}/{sc.applicationId}", "calorgrid.zip")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(fs.makeQualified(path).toString())
     _shipped["app"] = sc.applicationId
 
 
