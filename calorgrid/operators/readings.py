@@ -14,8 +14,6 @@ from calorgrid.operators.exact import exact_medians
 from calorgrid.session import by_range, checkpointed
 
 _LEVELS = 3
-#: the limit is dealt out over the details, the approximation, and where the median lies
-_PARTS = 4
 _EPS = 1e-9
 #: readings of one spot that a task holds at once; a longer stretch is cut and sewn like one that crosses partitions
 HELD = 65_536
@@ -41,15 +39,16 @@ def candidates(x: np.ndarray, limit: float, middle: float | None = None, parts:
     """Mask of the values of one source, in time order, that may lie ``limit`` or more off its median.
 
     Each level's details are scaled robustly (by the median of their size) and held against one threshold for all
-    levels: the half of ``limit``, dealt out over the levels by their scale. A value none of whose details reaches it is
-    quiet, and lies within that half of its approximation. Where the median lies follows from the approximations: if k
-    values aren't quiet, it is between the approximations k ranks below and above their middle, give or take that
-    half. So a median need not be known to tell what may be off it; no value that is can be missed."""
+    levels: a part of ``limit`` (a half, or a quarter where the median isn't known), dealt out over the levels by their
+    scale. A value none of whose details reaches it is quiet, and lies within that part of its approximation. Where the
+    median lies follows from the approximations: if k values aren't quiet, it is between the approximations k ranks below
+    and above their middle, give or take that part. So a median need not be known to tell what may be off it; no value
+    that is can be missed."""
     n = len(x)
     details, rest = parts or haar_details(x)
     size = np.abs(details)
     scale = np.median(size, axis=1) + _EPS
-    half = limit / _PARTS
+    half = limit / (4 if middle is None else 2)
     quiet = (size < (half * scale / scale.sum())[:, None]).all(axis=0)
     if middle is None:
         k, order = n - int(quiet.sum()), np.sort(rest)
