@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from calorgrid.operators.exact import quantiles
 from calorgrid.operators.stats import beside
 from calorgrid.plans.boxes import _BOX, _IOU, boxes
 from calorgrid.plans.registry import Registry
+from calorgrid.sources import flir, made
 from calorgrid.sources.sinks import label_texts
 from calorgrid.sources.tables import table
 
@@ -90,6 +93,42 @@ def edge_strength(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("vec_id", F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 4).alias("strength"), F.size(F.filter("v", lambda x: x > 0)).cast("long").alias("n"))
 
 
+#: camera parameters of the made pictures
+_CAMERA = {"model": "trial", "serial": "7", "lens": "wide", "emissivity": 0.9375, "distance": 1.0, "refl_temp": 20.0, "r1": 16384.0, "b": 1408.0, "f": 1.0, "o": -7000, "fov": 25.0, "r2": 0.015625}
+_RAW = "e as (select vec_id, 14000 + (floor(embedding[i + 1]::double * 8000 + 4000)::int % 8000 + 8000) % 8000 as raw from embeddings, range(64) r(i))"
+
+
+def _made(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """Vectors as raw values of 8 x 8 pictures, encoded."""
+
+    @F.pandas_udf("binary")
+    def encode(v: pd.Series) -> pd.Series:
+        def one(x: np.ndarray) -> bytes:
+            raw = (14000 + np.floor(np.asarray(x, dtype=np.float64) * 8000 + 4000).astype(np.int64) % 8000).astype(np.uint16).reshape(8, 8)
+            return made.picture(raw, _CAMERA, b"\xff\xd8\xffvisual", 200) if kind == "picture" else made.tiff16(raw + np.uint16(15000))
+
+        return v.map(one)
+
+    return table(spark, sf, "embeddings").select("vec_id", encode("embedding").alias("content"))
+
+
+@query(f"""with {_RAW}, k as (select 16384.0 / (0.015625 * (exp(1408.0 / 293.15::float::double) - 1)) + 7000 as back), t as (select vec_id, (1408.0 / ln(16384.0 / (0.015625 * ((raw - 0.0625 * back) / 0.9375 - 7000)) + 1) - 273.15)::float as t from e, k)
+select vec_id, 'trial' as model, 8 as width, 64::bigint as n, round(max(t)::double, 3) as most, round(min(t)::double, 3) as least, 9 as visual from t group by vec_id""")
+def radiometric_decode(spark: SparkSession, sf: str) -> DataFrame:
+    """Radiometric pictures (made of the vectors) read back: segments, records, parameters, PNG, Planck's law, visual picture."""
+    d = flir.decoded(_made(spark, sf, "picture"), "vec_id", "content")
+    most, least = F.array_max("temp").cast("double"), F.array_min("temp").cast("double")
+    return d.select(F.col("path").cast("long").alias("vec_id"), F.col("meta.model").alias("model"), "width", F.size("temp").cast("long").alias("n"), F.round(most, 3).alias("most"), F.round(least, 3).alias("least"), F.length("visual").alias("visual"))
+
+
+@query(f"with {_RAW}, t as (select vec_id, ((raw + 15000) / 100 - 273.15)::float as t from e) select vec_id, 8 as height, round(max(t)::double, 3) as most, round(avg(t::double), 3) as mean from t group by vec_id")
+def centikelvin_decode(spark: SparkSession, sf: str) -> DataFrame:
+    """TIFF images (made of the vectors) read back as temperatures."""
+    d = flir.decoded_centikelvin(_made(spark, sf, "tiff"), "vec_id", "content")
+    mean = F.aggregate("temp", F.lit(0.0), lambda s, x: s + x.cast("double")) / F.size("temp")
+    return d.select(F.col("path").cast("long").alias("vec_id"), "height", F.round(F.array_max("temp").cast("double"), 3).alias("most"), F.round(mean, 3).alias("mean"))
+
+
 # ---- classes of one list as those of another ------------------------------------------------------------------------
 @query("""with s as (select 25 - cls as id, cls_key as name from class_dim where cls <> 7), k as (select cls_key as name, cls from class_dim union all select 'other', 99)
 select k.cls as new_cls, count(*) as n from frame_dets d left join s on s.id = d.cls left join k using (name) group by k.cls""")

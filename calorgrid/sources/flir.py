@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _META = "model string, serial string, lens string, fov float, emissivity float, distance float, refl_temp float, r1 float, b float, f float, o int, r2 float, real2ir float, offset_x short, offset_y short"
 SCHEMA = f"path string, error string, meta struct<{_META.replace(' ', ': ').replace(',: ', ', ')}>, height int, width int, temp array<float>, visual binary"
@@ -177,36 +178,49 @@ def decode(blob: bytes) -> tuple[dict, np.ndarray, bytes | None]:
     return meta, celsius(png16(image[image.index(b"\x89PNG") :]), meta), inner[start:] if start >= 0 else None
 
 
-def read_pictures(spark: SparkSession, path: str, pattern: str = "*.jpg") -> DataFrame:
-    """``path, error, meta, height, width, temp, visual``: one row a file; a file that can't be read has its error and nulls."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+def decoded(files: DataFrame, name: str, content: str) -> DataFrame:
+    """``path, error, meta, height, width, temp, visual`` of radiometric pictures in a table; a picture that can't be read has its
+    error and nulls, a null one too."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for name, blob in zip(pdf["path"], pdf["content"], strict=True):
+            for path, blob in zip(pdf["path"], pdf["content"], strict=True):
                 try:
                     meta, temp, visual = decode(bytes(blob))
-                    row = (name, None, meta, *temp.shape, temp.ravel(), visual)
+                    row = (path, None, meta, *temp.shape, temp.ravel(), visual)
                 except (ValueError, KeyError, struct.error, zlib.error, TypeError) as e:
-                    row = (name, f"{type(e).__name__}: {e}", None, None, None, None, None)
+                    row = (path, f"{type(e).__name__}: {e}", None, None, None, None, None)
                 # one picture a frame: ten thousand of them would not fit
                 yield pd.DataFrame([row], columns=["path", "error", "meta", "height", "width", "temp", "visual"]).astype({"height": "Int32", "width": "Int32"})
 
-    return files.select("path", "content").mapInPandas(run, SCHEMA)
+    return files.select(F.col(name).cast("string").alias("path"), F.col(content).alias("content")).mapInPandas(run, SCHEMA)
 
 
-def read_centikelvin(spark: SparkSession, path: str, pattern: str = "*.tif*") -> DataFrame:
-    """``path, error, height, width, temp`` of TIFF files whose samples are hundredths of a kelvin; as ``read_pictures``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+def decoded_centikelvin(files: DataFrame, name: str, content: str) -> DataFrame:
+    """``path, error, height, width, temp`` of TIFF images in a table, as ``decoded``; samples are hundredths of a kelvin."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for name, blob in zip(pdf["path"], pdf["content"], strict=True):
+            for path, blob in zip(pdf["path"], pdf["content"], strict=True):
                 try:
                     temp = centikelvin(tiff16(bytes(blob))).astype(np.float32)
-                    row = (name, None, *temp.shape, temp.ravel())
-                except (ValueError, struct.error, zlib.error) as e:
-                    row = (name, f"{type(e).__name__}: {e}", None, None, None)
+                    row = (path, None, *temp.shape, temp.ravel())
+                except (ValueError, struct.error, zlib.error, TypeError) as e:
+                    row = (path, f"{type(e).__name__}: {e}", None, None, None)
                 yield pd.DataFrame([row], columns=["path", "error", "height", "width", "temp"]).astype({"height": "Int32", "width": "Int32"})
 
-    return files.select("path", "content").mapInPandas(run, "path string, error string, height int, width int, temp array<float>")
+    return files.select(F.col(name).cast("string").alias("path"), F.col(content).alias("content")).mapInPandas(run, "path string, error string, height int, width int, temp array<float>")
+
+
+def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+
+
+def read_pictures(spark: SparkSession, path: str, pattern: str = "*.jpg") -> DataFrame:
+    """``decoded`` pictures of a folder, one row a file (Spark passes over empty files)."""
+    return decoded(_files(spark, path, pattern), "path", "content")
+
+
+def read_centikelvin(spark: SparkSession, path: str, pattern: str = "*.tif*") -> DataFrame:
+    """``decoded_centikelvin`` images of a folder, one row a file (Spark passes over empty files)."""
+    return decoded_centikelvin(_files(spark, path, pattern), "path", "content")

@@ -149,3 +149,21 @@ def test_calibrations_and_empty_labels(spark):
     boxes = spark.createDataFrame([("a", 0, 1, 0.5, 0.5, 0.1, 0.1), ("z", 0, 1, 0.5, 0.5, 0.1, 0.1)], "stem string, i int, cls int, cx double, cy double, w double, h double")
     kept = {r["stem"]: r["text"] for r in sinks.label_texts(boxes, "stem", "i", keep=spark.createDataFrame([("a",), ("b",), ("b",)], "stem string")).collect()}
     assert set(kept) == {"a", "b"} and kept["b"] == "" and kept["a"].count("\n") == 1
+
+
+def test_made_pictures_are_read_back(spark):
+    from calorgrid.plans.surveys import _CAMERA
+    from calorgrid.sources import made
+
+    g = np.random.default_rng(9)
+    for shape in ((1, 1), (7, 5), (240, 320)):
+        raw = g.integers(9000, 20000, shape).astype(np.uint16)
+        assert (flir.png16(made.png16(raw)) == raw).all() and (flir.tiff16(made.tiff16(raw)) == raw).all()
+        meta, temp, visual = flir.decode(made.picture(raw, _CAMERA, b"head\xff\xd8\xffbody"))
+        assert temp.shape == shape and visual == b"\xff\xd8\xffbody" and (meta["model"], meta["o"], meta["real2ir"]) == ("trial", -7000, 1.0)
+        assert np.allclose(temp, flir.celsius(raw, meta))
+    rows = [(1, made.picture(raw, _CAMERA)), (2, None), (3, b"\xff\xd8\xff\xda"), (4, made.picture(raw, _CAMERA)[:500])]
+    got = {r["path"]: r for r in flir.decoded(spark.createDataFrame(rows, "id int, content binary"), "id", "content").collect()}
+    assert got["1"]["error"] is None and got["1"]["visual"] is None and all(got[k]["error"] and got[k]["temp"] is None for k in "234")
+    bad = flir.decoded_centikelvin(spark.createDataFrame([(1, None), (2, b"II*\0\xff\xff\xff\xff")], "id int, content binary"), "id", "content").collect()
+    assert all(r["error"] and r["temp"] is None for r in bad)
