@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from calorgrid.session import SMALL_BYTES, checkpointed, estimated_bytes
 
 _CELLS = 4096
+#: keys as text and back: nulls are told, times keep their microseconds
+_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def exact_medians(rows: DataFrame, keys: list[str], value: str, most_rows: int = 20000) -> DataFrame:
@@ -23,7 +25,7 @@ def exact_quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[s
     most ``most_rows`` rows or one distinct value are left. Null and NaN values are left out; a key without values gives
     no row, null keys are keys. The table of ranges, two rows a key and share, is broadcast: the caller bounds the number of
     keys."""
-    data = rows.select(F.struct(*[F.col(k) for k in keys]).alias("_key"), F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"}).alias("_id"), F.col(value).cast("double").alias("v")).where("v is not null and not isnan(v)")
+    data = rows.select(F.struct(*[F.col(k) for k in keys]).alias("_key"), F.to_json(F.struct(*[F.col(k) for k in keys]), _JSON).alias("_id"), F.col(value).cast("double").alias("v")).where("v is not null and not isnan(v)")
     at = [F.lit(float(q)) * (F.col("n") - 1) for q in shares.values()]
     ranks = F.array_distinct(F.array(*[r.cast("long") for x in at for r in (F.floor(x), F.ceil(x))]))
     ranges = (
@@ -54,7 +56,7 @@ def exact_quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[s
     value_at = lambda r: F.element_at("_m", r.cast("long"))
     out = [(value_at(F.floor(x)) + (value_at(F.ceil(x)) - value_at(F.floor(x))) * (x - F.floor(x))).alias(name) for name, x in zip(shares, at, strict=True)]
     kind = data.schema["_key"].dataType.simpleString()
-    return found.select(F.from_json("_id", kind).alias("_key"), "n", *out).select("_key.*", "n", *[F.col(f"`{name}`") for name in shares])
+    return found.select(F.from_json("_id", kind, _JSON).alias("_key"), "n", *out).select("_key.*", "n", *[F.col(f"`{name}`") for name in shares])
 
 
 def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, float], most_rows: int = 1_000_000, most_heavy: int = 10_000) -> DataFrame:
@@ -66,7 +68,7 @@ def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, fl
     plain = [F.percentile(F.when(~F.isnan(value), F.col(value)), q).alias(name) for name, q in shares.items()]
     if estimated_bytes(rows) < SMALL_BYTES:
         return rows.groupBy(*keys).agg(*plain)
-    ids = F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
+    ids = F.to_json(F.struct(*[F.col(k) for k in keys]), _JSON)
     tall = [r[0] for r in rows.groupBy(ids.alias("_id")).agg(F.count("*").alias("n")).where(F.col("n") > most_rows).limit(most_heavy + 1).collect()]
     if not tall:
         return rows.groupBy(*keys).agg(*plain)

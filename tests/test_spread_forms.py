@@ -33,6 +33,13 @@ def test_quantiles_of_keys_of_any_size(spark, most):
         quantiles(df, ["k", "j"], "v", shares, 5, most_heavy=1)
 
 
+def test_quantiles_keep_keys_of_any_kind(spark):
+    df = spark.range(60).selectExpr("timestamp_micros(1700000000000000 + id % 2) t", "date_add(date '2024-01-01', cast(id % 2 as int)) d", "cast(id % 2 as decimal(9,4)) x", "if(id % 2 = 0, 'a\"b', null) s", "id % 2 = 0 b", "cast(id as double) v")
+    keys = ["t", "d", "x", "s", "b"]
+    want = {tuple(r) for r in df.groupBy(*keys).agg(F.percentile("v", 0.5).alias("p")).collect()}
+    assert {tuple(r) for r in exact_quantiles(df, keys, "v", {"p": 0.5}, 5).drop("n").collect()} == want and len(want) == 2
+
+
 @pytest.mark.parametrize("stretch", [1, 3, 50, 100000])
 def test_runs_are_sewn_over_stretches(spark, monkeypatch, stretch):
     monkeypatch.setattr(windows, "_STRETCH", stretch)
