@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calorgrid.operators.windows import numbered
-from calorgrid.session import checkpointed
+from calorgrid.session import SMALL_BYTES, checkpointed, estimated_bytes
 
 
 def _tiles(df: DataFrame, ident: str, vector: str, block: str) -> DataFrame:
@@ -67,8 +67,12 @@ def leaders(rows: DataFrame, ident: str, vector: str, block: str, least: float =
     data = data.withColumn("_n", norm)
     alone = data.where("not coalesce(_n > 0, false)").select(F.col("id").alias(ident), F.col("id").alias("leader"))
     unit = data.where("_n > 0").select("block", "id", F.transform("v", lambda x: x / F.col("_n")).alias("v"))
-    placed = checkpointed(numbered(unit, ["block"], ["id"], "place"))
-    end = placed.agg(F.max("place")).first()[0]
+    placed = numbered(unit, ["block"], ["id"], "place")
+    if estimated_bytes(rows) < SMALL_BYTES:  # one round is enough
+        end, first = 0, 1 << 62
+    else:
+        placed = checkpointed(placed)
+        end = placed.agg(F.max("place")).first()[0]
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now: object = object()
@@ -114,6 +118,8 @@ def leaders(rows: DataFrame, ident: str, vector: str, block: str, least: float =
             rest = batch.join(joined.select("block", "place"), ["block", "place"], "left_anti")
         schema = f"block string, id {kind}, place long, leader {kind}, lead long"
         folded = rest.select("block", "id", "place", "v").repartition("block").sortWithinPartitions("block", "place").mapInPandas(fold, schema)
+        if hi > end and known is None:  # the only round
+            return alone.unionByName(folded.select(F.col("id").alias(ident), "leader"))
         if hi > end:  # the last round
             found.append(folded.select("block", "place", "lead"))
             break

@@ -34,6 +34,9 @@ def run_lengths(rows: DataFrame, by: Sequence[str], order: Sequence[str], hot: C
     successive places; a run that goes on in the next one is sewn to it: only each group's islands of a partition, at most
     as many as it has runs there, meet by their ends."""
     placed = numbered(rows.withColumn("_hot", F.coalesce(hot, F.lit(False))), by, [F.col(c) for c in order], "_i")
+    if estimated_bytes(rows) < SMALL_BYTES:  # one stretch a group
+        marked = placed.where("_hot").withColumn("_g", F.col("_i") - F.row_number().over(Window.partitionBy(*by).orderBy("_i")))
+        return marked.groupBy(*by, "_g").agg((F.min("_i") + 1).alias("run"), F.count("*").alias("length")).drop("_g")
     part = placed.select(*by, "_i", "_hot").withColumn("_part", F.floor(F.col("_i") / _STRETCH))
     w = Window.partitionBy(*by, "_part").orderBy("_i")
     marked = part.where("_hot").withColumn("_g", F.col("_i") - F.row_number().over(w))
