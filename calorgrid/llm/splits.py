@@ -63,7 +63,7 @@ def place(labels: np.ndarray, need: np.ndarray, rounds: int = 400, shakes: int =
     cost = lambda x: float((_full(x) ** 2 @ weight).sum())
     rng, reached = np.random.default_rng(len(labels)), cost(need)
     for _ in range(shakes if len(need) > 1 else 0):
-        if reached < 1e-6:
+        if reached < 1e-5:  # misses of about a thousandth
             break
         other, lack = out.copy(), need.copy()
         for i in rng.choice(len(out), min(len(out), 3), replace=False):
